@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -12,6 +14,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Set the SQL options that the operators rely on; safe to call repeatedly."""
+    # Tasks carry the package's functions along, so executors need no installed copy.
+    cloudpickle.register_pickle_by_value(sys.modules["logharbor"])
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # JSON lines may repeat a key; the last value counts and the line stays valid.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
