@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from logharbor import prepare
 from logharbor.schemas import WINDOW
 from logharbor.session import shared_dir
-from logharbor.sources.files import locate, write_new_files
+from logharbor.sources.files import hash_payloads, locate, write_new_files
 
 METRICS = '"device_id","gpu_util","mem_util","temp_c","power_mw","used_mib","clock_sm"'
 
@@ -170,13 +170,16 @@ def landing_tree(spark: SparkSession, sf_dir: str) -> str:
 
     texts = window_texts(spark, sf_dir).cache()
     write(texts, F.col("file_name"), F.col("text"), F.col("is_gz"))
-    sums = texts.select(*WINDOW, "k", F.crc32(F.col("text").cast("binary")).alias("crc"))
+    # Sidecars state the stored bytes, with a wrong length where the fixture has one.
+    stored = texts.select(*WINDOW, "k", "is_gz", F.concat(place, "file_name").alias("path"))
+    sums = hash_payloads(stored).select(*WINDOW, "k", F.col("length").alias("stored"), "crc32")
     sidecars = fixture(spark, sf_dir, "sidecars").join(sums, WINDOW)
     record = F.to_json(F.struct(
         "schema_version", "type", "window_id", F.col("meta_session_id").alias("session_id"),
         F.col("meta_channel").alias("channel"), F.col("meta_window_sequence").alias("window_sequence"),
         F.lit(1).alias("opened_mono_ms"), F.lit(2).alias("closed_mono_ms"), F.lit("x").alias("extra"),
-        "payload_file", "payload_bytes", F.col("crc").alias("payload_crc32"),
+        "payload_file", (F.col("stored") + F.when(F.col("k") % 8 == 0, 1).otherwise(0)).alias("payload_bytes"),
+        F.col("crc32").alias("payload_crc32"),
     ))
     write(sidecars, F.concat(F.lit(f".{PRODUCER}-window."), number, F.lit(".json")),
           F.when(F.col("malformed"), "{oops").otherwise(record))
@@ -189,6 +192,9 @@ def landing_tree(spark: SparkSession, sf_dir: str) -> str:
     write(sessions.where("owner_state = 'UNOWNED'"), F.lit(".uploaded"), F.lit(""))
     write(sessions.where("tmp_present"), F.lit(".tmp/device.log"), F.lit("live"))
     write(sessions, F.lit(f".{PRODUCER}-session.lock"), F.lit(""))
+    flat = F.concat(F.lit(f"{local}/flat/"), "channel", F.lit("/"), "session_id", F.lit("."), "channel", F.lit(".log"))
+    old = fixture(spark, sf_dir, "windows").select("channel", "session_id").distinct()
+    write_new_files(old.select(flat.alias("path"), F.lit(b"{}").alias("content"))).write.format("noop").mode("overwrite").save()
     texts.unpersist()
     marker = spark.range(1).select(F.lit(done).alias("path"), F.lit(b"").alias("content"))
     write_new_files(marker).write.format("noop").mode("overwrite").save()

@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from logharbor.operators.ordered import Columns, State, ordered_fold
+from logharbor.operators.skew import lookup
+from logharbor.session import cut_lineage
 from logharbor.schemas import FORCE_EMIT_MS, POWER_THRESHOLD_PCT, TEMP_THRESHOLD_C
 
 EXACT = ["gpu_util", "mem_util", "used_mib", "clock_sm"]
@@ -157,3 +159,30 @@ def metric_dedup(
         ChangeFold(),
         result=None,
     )
+
+
+def metric_dedup_from(
+    samples: DataFrame,
+    last_kept: DataFrame,
+    key_cols: Sequence[str] = ("session_id", "device_id"),
+    order_cols: Sequence[str] = ("ts_ms", "row_no"),
+) -> tuple[DataFrame, DataFrame]:
+    """Continue from the last kept sample per device: the kept samples, and the new last
+    ones.
+
+    The earlier samples take part as the first of their devices. A sample older than its
+    device's last kept one is compared as if taken at the same time.
+    """
+    names, keys = samples.columns, list(key_cols)
+    floor = last_kept.select(*keys, F.col("ts_ms").alias("_floor"))
+    raised = lookup(samples, floor, keys, [c for c in order_cols if c not in keys]).withColumns({
+        "_own_ts": F.col("ts_ms"), "ts_ms": F.greatest("ts_ms", "_floor"), "_new": F.lit(1),
+    })
+    first = last_kept.withColumns({"_own_ts": F.col("ts_ms"), "_new": F.lit(0)})
+    order = ["ts_ms", "_new", "_own_ts", *[c for c in order_cols if c != "ts_ms"]]
+    kept = cut_lineage(metric_dedup(raised.drop("_floor").unionByName(first), keys, order))
+    newest = kept.groupBy(*keys).agg(F.max_by(F.struct(*names), F.struct(*order)).alias("_s"))
+    return (
+        kept.where("_new = 1").withColumn("ts_ms", F.col("_own_ts")).select(names),
+        newest.select("_s.*").select(names),
+    )
