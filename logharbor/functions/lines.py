@@ -12,27 +12,40 @@ def is_blank(line: Column) -> Column:
     return line.rlike(r"(?U)^\s*$")
 
 
+# Closes a line's array when its text is checked. A line that holds it itself is checked
+# a second way.
+END_MARK = "\u241c"
+
+
 def _type_of(doc: Column) -> Column:
-    """Text of the top-level ``type`` of a parsed line wrapped in an array."""
-    value = F.try_variant_get(doc, "$[0].type", "variant")
-    kind = F.schema_of_variant(value)
+    """Text of the top-level ``type`` of a parsed line."""
     text = F.try_variant_get(doc, "$[0].type", "string")
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.coalesce(F.when(~F.coalesce(nested, F.lit(False)), text), F.lit("unknown"))
+    # Objects and arrays come back as their JSON text; only text like theirs needs a look
+    # at the kind of value.
+    kind = F.schema_of_variant(F.try_variant_get(doc, "$[0].type", "variant"))
+    nested = text.rlike(r"^[{\[]") & kind.rlike("^(OBJECT|ARRAY)")
+    return F.when(text.isNull() | nested, "unknown").otherwise(text)
 
 
 def line_types(line: Column) -> Column:
     """One-element array with the event type of a valid JSON line, empty for other text.
 
     A JSON reader stops after the first value, so text after it would go unnoticed. The
-    line is therefore read inside brackets, where such text is an error, and once more as
-    a field of an object, which catches a line that closes the bracket itself.
+    line is therefore read as the first element of an array whose second one is a mark:
+    only if the mark is found there is the line one whole value.
     """
-    parsed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    single = F.json_object_keys(F.concat(F.lit('{"v":'), line, F.lit("}"))).isNotNull()
+    mark = F.lit(END_MARK)
+    parsed = F.try_parse_json(F.concat(F.lit("["), line, F.lit(f',"{END_MARK}"]')))
+    whole = ~F.contains(line, mark) | F.json_object_keys(
+        F.concat(F.lit('{"v":'), line, F.lit("}"))
+    ).isNotNull()
+
+    def kind(doc: Column) -> Column:
+        marked = F.try_variant_get(doc, "$[1]", "string") == mark
+        return F.when(F.coalesce(marked, F.lit(False)) & whole, _type_of(doc))
+
     # Binding the document in a lambda parses it once for all its uses.
-    kinds = F.transform(F.array(parsed), lambda doc: F.when(doc.isNotNull() & single, _type_of(doc)))
-    return F.filter(kinds, lambda kind: kind.isNotNull())
+    return F.filter(F.transform(F.array(parsed), kind), lambda found: found.isNotNull())
 
 
 def event_type(line: Column) -> Column:

@@ -13,8 +13,9 @@ def metric_position(columns: Column, name: str) -> Column:
 def metric_value(columns: Column, row: Column, name: str, kind: str = "int") -> Column:
     """Value of a named column in a positional row; 0 if absent, short or not a number."""
     text = F.get(row, metric_position(columns, name).cast("int"))
-    number = text.try_cast("decimal(38,6)")
-    return F.coalesce(number.try_cast(kind), F.lit(0).cast(kind))
+    # Whole numbers are the rule; a fraction is cut off.
+    number = F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
+    return F.coalesce(number, F.lit(0).cast(kind))
 
 
 def percent_diff(a: Column, b: Column) -> Column:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logharbor.functions.lines import is_blank, is_json, line_types
@@ -18,6 +20,7 @@ from logharbor.schemas import (
     METRIC_COLUMNS,
     WINDOW,
 )
+from logharbor.session import materialize
 
 LINE = [*WINDOW, "line_no"]
 
@@ -55,16 +58,19 @@ def dedup_applies(lines: DataFrame) -> DataFrame:
     compared and passes as a whole.
     """
     candidate = (F.col("channel") == DEDUP_CHANNEL) & (F.col("event_type") == METRIC_BATCH_TYPE)
-    batch = F.when(candidate, parsed_batch(F.col("line")))
-    device = metric_position(F.col("batch.columns"), "device_id")
-    usable = (
-        F.array_contains("batch.columns", "device_id")
-        & F.array_contains("batch.columns", "gpu_util")
-        & F.forall("batch.rows", lambda row: row.isNotNull() & (F.size(row) > device))
-    )
-    return lines.withColumn("batch", batch).withColumn(
-        "batch", F.when(F.coalesce(usable, F.lit(False)), F.col("batch"))
-    )
+
+    def usable(batch: Column) -> Column:
+        device = metric_position(batch["columns"], "device_id")
+        return (
+            F.array_contains(batch["columns"], "device_id")
+            & F.array_contains(batch["columns"], "gpu_util")
+            & F.forall(batch["rows"], lambda row: row.isNotNull() & (F.size(row) > device))
+        )
+
+    # As a generator of one row, for the same reason as in ``drop_malformed``.
+    parsed = F.array(F.when(candidate, parsed_batch(F.col("line"))))
+    found = F.transform(parsed, lambda batch: F.when(F.coalesce(usable(batch), F.lit(False)), batch))
+    return lines.select("*", F.explode(found).alias("batch"))
 
 
 def explode_metric_batch(lines: DataFrame) -> DataFrame:
@@ -102,11 +108,12 @@ def dedup_summary(batches: DataFrame, kept: DataFrame, keys: Sequence[str] = tup
 
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = []
-        for text, kept in zip(batch.column("line").to_pylist(), batch.column("kept_rows").to_pylist()):
-            root = json.loads(text)
-            root["rows"] = [root["rows"][n] for n in kept]
-            texts.append(json.dumps(root, separators=(",", ":"), ensure_ascii=False))
+        texts = batch.column("line").to_pylist()
+        rewritten = pc.equal(batch.column("action"), "rewrite")
+        for n in np.flatnonzero(rewritten.to_numpy(zero_copy_only=False)).tolist():
+            root = json.loads(texts[n])
+            root["rows"] = [root["rows"][row] for row in batch.column("kept_rows")[n].as_py()]
+            texts[n] = json.dumps(root, separators=(",", ":"), ensure_ascii=False)
         at = batch.schema.get_field_index("line")
         yield batch.set_column(at, "line", pa.array(texts, pa.string()))
 
@@ -114,10 +121,8 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repack_metric_batch(summary: DataFrame) -> DataFrame:
     """Lines to send for deduplicated batches: the original text if every row was kept,
     else the batch with the kept rows; none if no row was kept."""
-    columns = [c for c in summary.columns if c != "batch"]
-    original = summary.where("action = 'original'").select(columns)
-    partial = summary.where("action = 'rewrite'").select(columns)
-    return original.unionByName(partial.mapInArrow(_rewrite, partial.schema))
+    sent = summary.where("action <> 'drop'").drop("batch")
+    return sent.mapInArrow(_rewrite, sent.schema)
 
 
 def dedup_lines(
@@ -125,9 +130,12 @@ def dedup_lines(
 ) -> DataFrame:
     """Drop unchanged samples from the metric batches among ``lines`` (cleaned, typed).
 
-    All rows of a batch share the time in ``time_col``.
+    All rows of a batch share the time in ``time_col``. Only the dedup channel takes part:
+    its lines are stored once, parsed, for the passes over them; the lines of the other
+    channels go straight through.
     """
-    marked = dedup_applies(lines)
+    elsewhere = lines.where(F.col("channel") != DEDUP_CHANNEL)
+    marked = materialize(dedup_applies(lines.where(F.col("channel") == DEDUP_CHANNEL)), "dedup")
     batches = marked.where("batch is not null")
     others = marked.where("batch is null").drop("batch")
     samples = explode_metric_batch(batches.withColumn("ts_ms", F.col(time_col)))
@@ -137,4 +145,4 @@ def dedup_lines(
         ["ts_ms", *[c for c in LINE if c not in key_cols], "row_no"],
     )
     sent = repack_metric_batch(dedup_summary(batches, kept))
-    return others.unionByName(sent.select(others.columns))
+    return elsewhere.unionByName(others).unionByName(sent.select(others.columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from logharbor.operators.ordered import Columns, State, ordered_fold
 from logharbor.schemas import MAX_BYTES, MAX_LINES, WINDOW
@@ -100,6 +100,11 @@ class PackFold:
         return numbers, [lines, size, number]
 
 
+def line_size() -> Column:
+    """Bytes that a line takes in a request: UTF-8 text and separator."""
+    return F.octet_length("line") + 1
+
+
 def pack_batches(
     lines: DataFrame,
     max_lines: int = MAX_LINES,
@@ -110,14 +115,15 @@ def pack_batches(
     """Add ``batch_id``, the number of the request within its log window.
 
     A line is added first and the limits are tested after, so a request may exceed
-    ``max_bytes`` by its last line. A line counts its UTF-8 bytes plus the separator.
-    Limits of zero or less mean the defaults.
+    ``max_bytes`` by its last line. Limits of zero or less mean the defaults. A ``size``
+    column, if present, is taken as the ``line_size`` of the lines.
     """
     fold = PackFold(
         max_lines if max_lines > 0 else MAX_LINES, max_bytes if max_bytes > 0 else MAX_BYTES
     )
     # The line texts stay out of the ordered passes; only their sizes are folded.
-    sized = lines.select(*keys, *order, (F.octet_length("line") + 1).alias("_size"))
+    size = F.col("size") if "size" in lines.columns else line_size()
+    sized = lines.select(*keys, *order, size.alias("_size"))
     numbered = ordered_fold(sized, list(keys), list(order), fold, result="batch_id")
     return lines.join(numbered.drop("_size"), [*keys, *order])
 
@@ -126,7 +132,7 @@ def batch_summary(packed: DataFrame, keys: Sequence[str] = tuple(WINDOW)) -> Dat
     """Line count, bytes and byte range of each request."""
     return packed.groupBy(*keys, "batch_id").agg(
         F.count("*").alias("line_count"),
-        F.sum(F.octet_length("line") + 1).alias("bytes"),
+        F.sum(line_size()).alias("bytes"),
         F.min("byte_start").alias("start_offset"),
         F.max("byte_end").alias("end_offset"),
     )

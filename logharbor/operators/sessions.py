@@ -215,11 +215,11 @@ def drain_status(
         cleanup.agg((F.count("*") == 0).alias("cleanup_idle")),
         any_active(sessions, now_ms, since_ms),
     ]
-    keyed = [p.withColumn("_one", F.lit(1)) for p in parts]
-    row = keyed[0]
-    for part in keyed[1:]:
-        row = row.join(part, "_one")
-    return row.drop("_one").withColumn(
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    row = rows.agg(*[F.bool_or(c).alias(c) for c in rows.columns])
+    return row.withColumn(
         "drained",
         F.col("started_any") & F.col("channels_closed") & F.col("cleanup_idle") & ~F.col("any_active"),
     )

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 
 from logharbor.operators.clean import clean_lines, dedup_lines
 from logharbor.operators.delivery import outbox_lines
-from logharbor.operators.packing import batch_bodies, pack_batches
+from logharbor.operators.packing import batch_bodies, line_size, pack_batches
 from logharbor.operators.sequence import resume_lines
 from logharbor.schemas import MAX_BYTES, MAX_LINES
+from logharbor.session import materialize
 
 
 def line_events(lines: DataFrame, time_col: str, cursors: DataFrame | None = None) -> DataFrame:
@@ -27,5 +28,7 @@ def line_requests(
     cursors: DataFrame | None = None,
 ) -> DataFrame:
     """Line-batch requests of each log window."""
-    packed = pack_batches(line_events(lines, time_col, cursors), max_lines, max_bytes)
+    # Packing reads the sizes several times and the texts once; the lines are prepared once.
+    events = line_events(lines, time_col, cursors).withColumn("size", line_size())
+    packed = pack_batches(materialize(events, "lines"), max_lines, max_bytes)
     return outbox_lines(batch_bodies(packed), endpoint_host)

@@ -53,3 +53,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{shared_dir(spark)}/logharbor")
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write the rows to a table in the shared folder and read them back.
+
+    For rows that several later passes read: unlike a checkpoint the table is columnar, so
+    each pass reads only the columns that it needs.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
