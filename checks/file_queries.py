@@ -259,7 +259,7 @@ def window_decision_files(spark, sf_dir):
 
 @query(oracle("""SELECT parent AS folder, session_id, channel,
   CAST(COALESCE(MIN(window_sequence) FILTER (NOT accepted), MAX(window_sequence) + 1) AS BIGINT) AS file_index FROM (
-    SELECT *, decision IN ('verified_send', 'legacy_send') AND window_sequence <> 7 AS accepted,
+    SELECT *, decision IN ('verified_send', 'legacy_send', 'line_path') AND window_sequence <> 7 AS accepted,
       window_sequence - row_number() OVER (PARTITION BY parent, session_id, channel ORDER BY window_sequence) AS island FROM judged)
   WHERE island = 0 GROUP BY ALL""", TREE, TREE_DECIDED))
 def window_delivery_rounds(spark, sf_dir):

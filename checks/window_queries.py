@@ -224,6 +224,7 @@ DECIDED = f"""decided AS (SELECT t.*, CASE WHEN l.source IS NOT NULL THEN 'prior
     WHEN malformed THEN 'permanent_malformed' WHEN NOT valid THEN 'permanent_mismatch'
     WHEN NOT same THEN 'permanent_checksum' ELSE 'verified_send' END AS decision
   FROM attached t LEFT JOIN losses l USING ({W}) LEFT JOIN sessions USING (folder, session_id))"""
+IDENTITY = "CASE WHEN decision = 'verified_send' THEN window_id END"
 REASONS = """CASE decision WHEN 'permanent_malformed' THEN concat('window identity metadata is malformed for ', file_name)
   WHEN 'permanent_mismatch' THEN concat('window metadata does not match payload ', file_name)
   WHEN 'permanent_checksum' THEN concat('payload_checksum_mismatch:', file_name) END"""
@@ -235,7 +236,7 @@ def decisions(spark, sf_dir):
         fixture(spark, sf_dir, "losses"))
 
 
-@query(oracle(f"SELECT {W}, file_name, window_id, decision, {REASONS} AS reason FROM decided", ATTACHED, DECIDED))
+@query(oracle(f"SELECT {W}, file_name, {IDENTITY} AS window_id, decision, {REASONS} AS reason FROM decided", ATTACHED, DECIDED))
 def window_decision(spark, sf_dir):
     return decisions(spark, sf_dir)
 
@@ -341,7 +342,7 @@ def outbox_windows(spark, sf_dir):
 # -- one whole round of the window path ------------------------------------------------
 
 ROUND = f"""ready AS (SELECT {W} FROM islands WHERE island = start_index - 1),
-sent AS (SELECT d.*, d.decision IN ('verified_send', 'legacy_send') AND d.k % 6 <> 0 AS accepted
+sent AS (SELECT d.*, d.decision IN ('verified_send', 'legacy_send', 'line_path') AND d.k % 6 <> 0 AS accepted
   FROM decided d JOIN ready USING ({W})),
 stops AS (SELECT {S}, MIN(window_sequence) FILTER (NOT accepted) AS stop, MAX(window_sequence) + 1 AS after FROM sent GROUP BY ALL),
 round AS (SELECT {S}, CAST(COALESCE(stop, after) AS BIGINT) AS file_index, CAST(0 AS BIGINT) AS read_offset FROM stops

@@ -79,8 +79,8 @@ def window_decision(
     """How each ready window is to be sent.
 
     ``windows`` carries ``length`` and, where it was computed, ``crc32`` of the stored
-    bytes; ``sessions`` carries ``owner_state``. Permanent decisions come with the reason
-    text of the loss record.
+    bytes; ``sessions`` carries ``owner_state``. Only a verified window is sent under its
+    identity. Permanent decisions come with the reason text of the loss record.
     """
     judged = attach_sidecars(windows, sidecars)
     owners = sessions.select(*SESSION, "owner_state")
@@ -113,6 +113,7 @@ def window_decision(
         .when(F.col("decision") == "permanent_checksum",
               F.concat(F.lit("payload_checksum_mismatch:"), "file_name"))
     )
-    return judged.withColumn("decision", decision).withColumn("reason", reason).select(
-        *WINDOW, "file_name", "window_id", "decision", "reason"
+    identity = F.when(F.col("decision") == "verified_send", F.col("window_id"))
+    return judged.withColumn("decision", decision).select(
+        *WINDOW, "file_name", identity.alias("window_id"), "decision", reason.alias("reason")
     )

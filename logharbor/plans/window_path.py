@@ -14,9 +14,10 @@ from logharbor.operators.delivery import (
 )
 from logharbor.operators.integrity import acked_windows, window_decision
 from logharbor.operators.sequence import prefer_plain, ready_prefix
-from logharbor.schemas import WINDOW
+from logharbor.operators.skew import lookup
+from logharbor.schemas import STREAM, WINDOW
 
-SENDABLE = ["verified_send", "legacy_send"]
+SENDABLE = ["verified_send", "legacy_send", "line_path"]
 
 
 def decide_round(
@@ -27,10 +28,18 @@ def decide_round(
     cursors: DataFrame,
     sessions: DataFrame,
 ) -> DataFrame:
-    """How each window that is next in its stream is to be sent."""
+    """How each window that is next in its stream is to be sent.
+
+    A window that cannot be sent ends its stream's round: the ones after it are left out.
+    """
     done = acked_windows(sidecars, acks)
     ready = ready_prefix(prefer_plain(windows), cursors, done)
-    return window_decision(ready, sidecars, sessions, losses)
+    decisions = window_decision(ready, sidecars, sessions, losses)
+    stops = decisions.where(~F.col("decision").isin(SENDABLE)).groupBy(*STREAM).agg(
+        F.min("window_sequence").alias("_stop")
+    )
+    limited = lookup(decisions, stops, STREAM, ["window_sequence"])
+    return limited.where("_stop is null or window_sequence <= _stop").drop("_stop")
 
 
 def sendable(decisions: DataFrame) -> DataFrame:
@@ -47,7 +56,7 @@ def record_round(
 ) -> dict[str, DataFrame]:
     """New ledger rows and cursors from the responses to the sent windows.
 
-    A window that was not sent, or not accepted, stops its stream at its number.
+    A window without response, or not accepted, stops its stream at its number.
     """
     outcomes = classify_stream_response(responses)
     results = decisions.select(*WINDOW).join(
@@ -76,7 +85,9 @@ def window_round(
     """A whole round as one plan, for a ``send`` that may be evaluated again.
 
     ``send`` takes the sendable windows and returns them with ``status`` and ``body`` of
-    the response. The streaming rounds store its result instead.
+    the response. Windows with decision ``line_path`` go out as lines (``line_requests``),
+    the others verbatim. It sends a stream's windows in order and leaves out those after a
+    refused one. The streaming rounds store its result instead.
     """
     decisions = decide_round(windows, sidecars, acks, losses, cursors, sessions)
     responses = send(sendable(decisions))
