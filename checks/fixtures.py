@@ -75,7 +75,7 @@ SELECT folder, session_id, channel, window_sequence,
 FROM sidecars WHERE payload_bytes % 3 <> 0""",
     "losses": """
 SELECT folder, session_id, channel, window_sequence, 'agent' AS source, concat('reason "', k, '"') AS reason
-FROM windows WHERE k % 37 = 0""",
+FROM windows WHERE k % 37 = 0 OR (window_sequence = 2 AND k % 12 = 4)""",
     "cursors": """
 SELECT folder, session_id, channel, 1 + MIN(k) % 3 AS file_index,
        CASE WHEN MIN(k) % 2 = 0 THEN CAST(0 AS BIGINT) ELSE CAST(40 AS BIGINT) END AS read_offset

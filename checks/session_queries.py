@@ -46,9 +46,9 @@ def drop_hidden_dirs(spark, sf_dir):
     return ops.drop_hidden_dirs(named, "name").select(*SESSION)
 
 
-@query(oracle("SELECT folder, session_id FROM sessions WHERE mtime_ms >= 9500000"))
+@query(oracle("SELECT folder, session_id FROM sessions WHERE mtime_ms % 7000 >= 3000"))
 def since_cutoff(spark, sf_dir):
-    return fixture(spark, sf_dir, "sessions").where(fc.since_cutoff(F.col("mtime_ms"), 9_500_000)).select(*SESSION)
+    return fixture(spark, sf_dir, "sessions").where(fc.since_cutoff(F.col("mtime_ms") % 7000, 3000)).select(*SESSION)
 
 
 @query(oracle(f"SELECT folder, session_id, {NOW_SQL} - tmp_mtime_ms > 30000 AS stale FROM sessions"))
@@ -154,10 +154,19 @@ def drain_status(spark, sf_dir):
     return ops.drain_status(every, states(spark, sf_dir), cleanup, every, now())
 
 
+# Channels of even sessions have no window left and no owner.
+QUIET = """quiet AS (SELECT * REPLACE (CASE WHEN CAST(substr(session_id, 2, 9) AS INT) % 2 = 0 THEN 'UNOWNED' ELSE owner_state END AS owner_state,
+  next_present AND CAST(substr(session_id, 2, 9) AS INT) % 2 = 1 AS next_present) FROM channel_rows)"""
+
+
 @query(oracle("""SELECT folder, session_id, outcome, CASE WHEN complete_signal
   THEN 'https://collector.example/api/v1/events/session-complete' END AS url FROM settled""",
-              STATES, LOOSE.replace("CAST(substr(session_id, 2, 9) AS INT) % 2 = 0", "false"), COMPLETION, SETTLED))
+              QUIET, STATES.replace("channel_rows", "quiet").replace("states AS", "loose AS"), COMPLETION, SETTLED))
 def settlement(spark, sf_dir):
+    even = F.expr("CAST(substr(session_id, 2, 9) AS INT) % 2 = 0")
+    quiet = fixture(spark, sf_dir, "channel_rows").withColumns({
+        "owner_state": F.when(even, "UNOWNED").otherwise(F.col("owner_state")),
+        "next_present": F.col("next_present") & ~even,
+    })
     return settle(
-        fixture(spark, sf_dir, "channel_rows"), configured(spark, sf_dir), fixture(spark, sf_dir, "losses"),
-        now(), URL, prune_failed=True)
+        quiet, configured(spark, sf_dir), fixture(spark, sf_dir, "losses"), now(), URL, prune_failed=True)

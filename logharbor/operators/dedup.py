@@ -91,14 +91,38 @@ class SampleCollector:
         stop = late[0] + 1 if len(late) else len(rows)
         _, heads = np.unique(rows[:stop], axis=0, return_index=True)
         heads.sort()
-        base = heads.copy()
-        for row in range(len(rows)):
-            begun = heads < row
-            b = base[begun]
-            kept = drifted(ts[row], temp[row], power[row], ts[b], temp[b], power[b])
-            base[begun] = np.where(kept, row, b)
+        base = self.last_kept(ts, temp, power, heads)
         return np.hstack([rows[heads], rows[base]]).ravel()
 
+    @staticmethod
+    def last_kept(ts: np.ndarray, temp: np.ndarray, power: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """For each row of ``start``, taken as kept: the last row kept from there on.
+
+        All chains advance by one kept row at a time, and chains that meet go on as one.
+        """
+        values, kind = np.unique(np.stack([temp, power], axis=1), axis=0, return_inverse=True)
+        changes: dict[int, np.ndarray] = {}
+
+        def following(at: np.ndarray) -> np.ndarray:
+            after = np.searchsorted(ts, ts[at] + FORCE_EMIT_MS, side="right")
+            for k in np.unique(kind[at]).tolist():
+                if k not in changes:
+                    differs = drifted(0, temp, power, 0, *values[k])
+                    changes[k] = np.append(np.flatnonzero(differs), len(ts))
+                mine = kind[at] == k
+                found = changes[k][np.searchsorted(changes[k], at[mine], side="right")]
+                after[mine] = np.minimum(after[mine], found)
+            return after
+
+        chains, member = np.unique(start, return_inverse=True)
+        while True:
+            after = following(chains)
+            moving = after < len(ts)
+            if not moving.any():
+                return chains[member]
+            chains, merged = np.unique(np.where(moving, after, chains), return_inverse=True)
+            member = merged[member]
+
 
 class ChangeFold:
     """Keep the first sample, then each that differs from the last kept one."""

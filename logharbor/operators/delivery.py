@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logharbor.functions.lines import is_blank
@@ -163,17 +166,28 @@ def request_headers(host: str, header_prefix: str) -> Column:
 
 
 def outbox_lines(bodies: DataFrame, endpoint_host: str, version: str | None = None) -> DataFrame:
-    """Requests of the line path: address and body; the sink compresses the body."""
+    """Requests of the line path: address and body, which ``gzip_bodies`` puts into the form
+    that goes over the wire."""
     return bodies.withColumn("url", endpoint_url(endpoint_host, F.lit("stream"), version))
 
 
+def gzip_bodies(requests: DataFrame) -> DataFrame:
+    """Add ``body_gz``, the compressed body."""
+
+    @F.pandas_udf("binary")
+    def compressed(bodies: pd.Series) -> pd.Series:
+        return bodies.map(lambda body: gzip.compress(body.encode(), mtime=0))
+
+    return requests.withColumn("body_gz", compressed("body"))
+
+
 def outbox_windows(
     decisions: DataFrame, payloads: DataFrame, endpoint_host: str, version: str | None = None
 ) -> DataFrame:
     """Requests that carry a compressed window verbatim.
 
-    ``payloads`` names the file of each window. The bytes are read by the task that sends
-    or copies them and never travel through this join.
+    ``payloads`` names the file of each window. The bytes never travel through this join:
+    the task that sends them reads them, or ``files.read_payloads`` for an outbox table.
     """
     sendable = decisions.where(F.col("decision").isin("verified_send", "legacy_send"))
     return sendable.join(payloads, WINDOW).withColumn(

@@ -150,6 +150,22 @@ def hash_payloads(windows: DataFrame, tasks: int | None = None) -> DataFrame:
     return spread_files(windows, tasks=tasks).mapInArrow(task, schema)
 
 
+def read_payloads(windows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Add ``content``, the stored bytes of each file, one file at a time."""
+    schema = T.StructType([*windows.schema.fields, T.StructField("content", T.BinaryType())])
+    arrow = to_arrow_schema(schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n, path in enumerate(batch.column("path").to_pylist()):
+                system, inner = locate(path)
+                with system.open_input_stream(inner, compression=None) as stream:
+                    content = pa.array([stream.read()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.slice(n, 1).columns, content], schema=arrow)
+
+    return spread_files(windows, tasks=tasks).mapInArrow(task, schema)
+
+
 # -- writing -------------------------------------------------------------------------
 
 

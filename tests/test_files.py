@@ -183,3 +183,10 @@ def test_newest_change_of_the_working_directory(spark, tmp_path):
 
 def test_missing_folder_is_empty(spark, tmp_path):
     assert entries(spark, tmp_path / "none").count() == 0
+
+
+def test_payload_bytes(spark, tmp_path):
+    put(tmp_path / "s" / "device.1.log.gz", b"\x00one")
+    put(tmp_path / "s" / "device.2.log.gz", b"two")
+    rows = files.read_payloads(landing.list_windows(entries(spark, tmp_path))).collect()
+    assert {r.window_sequence: bytes(r.content) for r in rows} == {1: b"\x00one", 2: b"two"}

@@ -206,3 +206,17 @@ def test_headers(spark):
     assert bare == {"Content-Type": "application/x-ndjson", "Content-Encoding": "gzip",
                     "X-Acme-Session-Id": "s", "X-Acme-Hostname": "h"}
     assert set(WINDOW) <= set(df.columns)
+
+
+def test_compressed_bodies(spark):
+    import gzip
+
+    df = spark.createDataFrame([("a\né\n",)], "body string")
+    assert gzip.decompress(delivery.gzip_bodies(df).first().body_gz).decode() == "a\né\n"
+
+
+def test_kafka_options():
+    from logharbor.sources.kafka import kafka_options
+
+    assert kafka_options("b:9092") == {"kafka.bootstrap.servers": "b:9092", "kafka.compression.type": "snappy", "kafka.linger.ms": "100"}
+    assert kafka_options("b", "zstd", 5)["kafka.compression.type"] == "zstd"
