@@ -111,9 +111,18 @@ HOST, IP, URL = "host1", "10.0.0.1", "https://collector.example/"
 PRODUCER = "acme"
 
 
+PLANS: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named table over the whole ``events`` table."""
-    prepare(spark)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in PLANS:
+        PLANS[key] = derive(prepare(spark), sf_dir, name)
+    return PLANS[key]
+
+
+def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "events":
         events = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
         # A file of one row group is one task, which would leave the other cores idle. Large
@@ -125,7 +134,25 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # A view per input: the statement is the same text that the checking database runs.
     view = f"{source}_{zlib.crc32(sf_dir.encode())}"
     fixture(spark, sf_dir, source).createOrReplaceTempView(view)
-    return spark.sql(text.replace(f"FROM {source}", f"FROM {view}"))
+    rows = spark.sql(text.replace(f"FROM {source}", f"FROM {view}"))
+    if name != "windows":
+        return rows
+    # Most others derive from this aggregate, so it is computed once and kept as a table.
+    path = stored(spark, sf_dir, "windows")
+    if not exists(f"{path}/_SUCCESS"):
+        rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def stored(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """A place for data derived once per application."""
+    owner = f"{spark.sparkContext.applicationId}-{zlib.crc32(sf_dir.encode())}"
+    return re.sub("^file:/+", "/", f"{shared_dir(spark)}/logharbor/{label}-{owner}")
+
+
+def exists(path: str) -> bool:
+    system, inner = locate(path)
+    return system.get_file_info(inner).type != fs.FileType.NotFound
 
 
 def oracle(select: str, *tables: str, recursive: bool = False) -> str:
@@ -157,49 +184,50 @@ def window_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_tree(spark: SparkSession, sf_dir: str) -> str:
     """Write the fixtures as a landing zone, once per application, and return its root."""
     prepare(spark)
-    label = f"{spark.sparkContext.applicationId}-{zlib.crc32(sf_dir.encode())}"
-    root = f"{shared_dir(spark)}/logharbor/tree-{label}"
-    local = re.sub("^file:/+", "/", root)
+    local = stored(spark, sf_dir, "tree")
     done = f"{local}/complete"
-    if locate(done)[0].get_file_info(locate(done)[1]).type != fs.FileType.NotFound:
+    if exists(done):
         return f"{local}/zone"
     place = F.concat(F.lit(f"{local}/zone/"), F.expr(REL_DIR), F.lit("/"))
     number = F.concat_ws(".", "channel", "window_sequence")
 
-    def write(df: DataFrame, name, content, is_gz=F.lit(False)):
-        rows = df.select(
+    def placed(df: DataFrame, name, content, is_gz=F.lit(False), place=place) -> DataFrame:
+        return df.select(
             F.concat(place, name).alias("path"), content.cast("binary").alias("content"), is_gz.alias("is_gz")
         )
-        write_new_files(rows).write.format("noop").mode("overwrite").save()
 
-    texts = window_texts(spark, sf_dir).cache()
-    write(texts, F.col("file_name"), F.col("text"), F.col("is_gz"))
+    def write(df: DataFrame) -> None:
+        write_new_files(df).write.format("noop").mode("overwrite").save()
+
+    texts = window_texts(spark, sf_dir).persist()
+    sessions = fixture(spark, sf_dir, "sessions")
+    loss = F.to_json(F.struct(F.lit(1).alias("schema_version"), "source", "channel", "window_sequence", "reason"))
+    old = fixture(spark, sf_dir, "windows").select("channel", "session_id").distinct()
+    flat = F.concat(F.lit(f"{local}/flat/"), "channel", F.lit("/"))
+    write(
+        placed(texts, F.col("file_name"), F.col("text"), F.col("is_gz"))
+        .union(placed(fixture(spark, sf_dir, "acks"), F.concat(F.lit(f".{PRODUCER}-window-ack."), number),
+                      F.concat("window_id", F.lit("\n"))))
+        .union(placed(fixture(spark, sf_dir, "losses"),
+                      F.concat(F.lit(f".{PRODUCER}-transport-loss.agent-"), number, F.lit(".json")), loss))
+        .union(placed(sessions.where("owner_state = 'UNOWNED'"), F.lit(".uploaded"), F.lit("")))
+        .union(placed(sessions.where("tmp_present"), F.lit(".tmp/device.log"), F.lit("live")))
+        .union(placed(sessions, F.lit(f".{PRODUCER}-session.lock"), F.lit("")))
+        .union(placed(old, F.concat_ws(".", "session_id", "channel", F.lit("log")), F.lit("{}"), place=flat))
+    )
     # Sidecars state the stored bytes, with a wrong length where the fixture has one.
-    stored = texts.select(*WINDOW, "k", "is_gz", F.concat(place, "file_name").alias("path"))
-    sums = hash_payloads(stored).select(*WINDOW, "k", F.col("length").alias("stored"), "crc32")
+    written = texts.select(*WINDOW, "k", "is_gz", F.concat(place, "file_name").alias("path"))
+    sums = hash_payloads(written).select(*WINDOW, "k", F.col("length").alias("bytes"), "crc32")
     sidecars = fixture(spark, sf_dir, "sidecars").join(sums, WINDOW)
     record = F.to_json(F.struct(
         "schema_version", "type", "window_id", F.col("meta_session_id").alias("session_id"),
         F.col("meta_channel").alias("channel"), F.col("meta_window_sequence").alias("window_sequence"),
         F.lit(1).alias("opened_mono_ms"), F.lit(2).alias("closed_mono_ms"), F.lit("x").alias("extra"),
-        "payload_file", (F.col("stored") + F.when(F.col("k") % 8 == 0, 1).otherwise(0)).alias("payload_bytes"),
+        "payload_file", (F.col("bytes") + F.when(F.col("k") % 8 == 0, 1).otherwise(0)).alias("payload_bytes"),
         F.col("crc32").alias("payload_crc32"),
     ))
-    write(sidecars, F.concat(F.lit(f".{PRODUCER}-window."), number, F.lit(".json")),
-          F.when(F.col("malformed"), "{oops").otherwise(record))
-    write(fixture(spark, sf_dir, "acks"), F.concat(F.lit(f".{PRODUCER}-window-ack."), number),
-          F.concat("window_id", F.lit("\n")))
-    write(fixture(spark, sf_dir, "losses"),
-          F.concat(F.lit(f".{PRODUCER}-transport-loss.agent-"), number, F.lit(".json")),
-          F.to_json(F.struct(F.lit(1).alias("schema_version"), "source", "channel", "window_sequence", "reason")))
-    sessions = fixture(spark, sf_dir, "sessions")
-    write(sessions.where("owner_state = 'UNOWNED'"), F.lit(".uploaded"), F.lit(""))
-    write(sessions.where("tmp_present"), F.lit(".tmp/device.log"), F.lit("live"))
-    write(sessions, F.lit(f".{PRODUCER}-session.lock"), F.lit(""))
-    flat = F.concat(F.lit(f"{local}/flat/"), "channel", F.lit("/"), "session_id", F.lit("."), "channel", F.lit(".log"))
-    old = fixture(spark, sf_dir, "windows").select("channel", "session_id").distinct()
-    write_new_files(old.select(flat.alias("path"), F.lit(b"{}").alias("content"))).write.format("noop").mode("overwrite").save()
+    write(placed(sidecars, F.concat(F.lit(f".{PRODUCER}-window."), number, F.lit(".json")),
+                 F.when(F.col("malformed"), "{oops").otherwise(record)))
     texts.unpersist()
-    marker = spark.range(1).select(F.lit(done).alias("path"), F.lit(b"").alias("content"))
-    write_new_files(marker).write.format("noop").mode("overwrite").save()
+    write(spark.range(1).select(F.lit(done).alias("path"), F.lit(b"").alias("content")))
     return f"{local}/zone"

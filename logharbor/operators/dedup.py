@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 import numpy as np
@@ -75,7 +76,10 @@ class SampleCollector:
         return [np.concatenate(column) for column in zip(*self.pieces)]
 
     def tail(self) -> State:
-        return self.fold.run(self.rows(), None)[1]
+        state = None
+        for piece in self.pieces:
+            _, state = self.fold.run(piece, state)
+        return state
 
     def table(self) -> np.ndarray:
         """Either the one state in which every entry ends, or (sample, end state) for each
@@ -101,33 +105,36 @@ class SampleCollector:
         All chains advance by one kept row at a time, and chains that meet go on as one.
         """
         values, kind = np.unique(np.stack([temp, power], axis=1), axis=0, return_inverse=True)
-        changes: dict[int, np.ndarray] = {}
+        successor = np.full(len(ts), -1)
 
         def following(at: np.ndarray) -> np.ndarray:
-            after = np.searchsorted(ts, ts[at] + FORCE_EMIT_MS, side="right")
-            for k in np.unique(kind[at]).tolist():
-                if k not in changes:
-                    differs = drifted(0, temp, power, 0, *values[k])
-                    changes[k] = np.append(np.flatnonzero(differs), len(ts))
-                mine = kind[at] == k
-                found = changes[k][np.searchsorted(changes[k], at[mine], side="right")]
-                after[mine] = np.minimum(after[mine], found)
-            return after
+            # Successors are found for all rows of one temperature and power together.
+            unknown = successor[at] < 0
+            for k in np.unique(kind[at[unknown]]).tolist() if unknown.any() else ():
+                alike = np.flatnonzero(kind == k)
+                changed = np.append(np.flatnonzero(drifted(0, temp, power, 0, *values[k])), len(ts))
+                late = np.searchsorted(ts, ts[alike] + FORCE_EMIT_MS, side="right")
+                successor[alike] = np.minimum(late, changed[np.searchsorted(changed, alike, side="right")])
+            return successor[at]
 
         chains, member = np.unique(start, return_inverse=True)
-        while True:
+        for step in itertools.count(1):
             after = following(chains)
             moving = after < len(ts)
             if not moving.any():
                 return chains[member]
-            chains, merged = np.unique(np.where(moving, after, chains), return_inverse=True)
-            member = merged[member]
+            chains = np.where(moving, after, chains)
+            if step % 16 == 0:
+                chains, merged = np.unique(chains, return_inverse=True)
+                member = merged[member]
 
 
 class ChangeFold:
     """Keep the first sample, then each that differs from the last kept one."""
 
     inputs = INPUTS
+    # Leaping is for data that keeps at most one sample in so many.
+    leap_share = 20
 
     def collector(self) -> SampleCollector:
         return SampleCollector(self)
@@ -150,18 +157,52 @@ class ChangeFold:
             keep[0] = True
         else:
             keep[0] = any(c[0] != v for c, v in zip(columns[3:], state[3:]))
-        ts, temp, power = (c.tolist() for c in columns[:3])
-        base_ts, base_temp, base_power = state[:3] if state is not None else (0, 0, 0)
-        latest = -1
-        for row, sure in enumerate(keep.tolist()):
-            if sure or drifted(ts[row], temp[row], power[row], base_ts, base_temp, base_power):
-                keep[row] = True
-                base_ts, base_temp, base_power = ts[row], temp[row], power[row]
-                latest = row
+        base = tuple(state[:3]) if state is not None else None
+        # Long idle stretches keep few samples: leap from one to the next as long as that
+        # pays, and look at every row from there on.
+        resets = np.flatnonzero(keep)
+        at, latest = 0, -1
+        if len(resets) * self.leap_share < len(keep):
+            at, latest, base = self.leap(columns, keep, resets, base)
+        if at < len(keep):
+            ts, temp, power = (c[at:].tolist() for c in columns[:3])
+            base_ts, base_temp, base_power = base if base is not None else (0, 0, 0)
+            for row, sure in enumerate(keep[at:].tolist()):
+                if sure or drifted(ts[row], temp[row], power[row], base_ts, base_temp, base_power):
+                    keep[at + row] = True
+                    base_ts, base_temp, base_power = ts[row], temp[row], power[row]
+                    latest = at + row
         if latest >= 0:
             state = [int(c[latest]) for c in columns]
         return keep, state
 
+    def leap(self, columns: Columns, keep: np.ndarray, resets: np.ndarray, base):
+        """Mark kept rows by going from each to the next. Returns the row at which this no
+        longer pays (or the end), the last row kept, and its time, temperature and power."""
+        ts, temp, power = columns[:3]
+        count = len(ts)
+        changes: dict[tuple, np.ndarray] = {}
+        at, latest = 0, -1
+
+        def next_in(positions: np.ndarray) -> int:
+            found = int(np.searchsorted(positions, at))
+            return int(positions[found]) if found < len(positions) else count
+
+        for _ in range(count // self.leap_share + 1):
+            row = next_in(resets)
+            if base is not None:
+                level = base[TEMP], base[POWER]
+                if level not in changes:
+                    changes[level] = np.flatnonzero(drifted(0, temp, power, 0, *level))
+                late = max(at, int(np.searchsorted(ts, base[TS] + FORCE_EMIT_MS, side="right")))
+                row = min(row, late, next_in(changes[level]))
+            if row >= count:
+                return count, latest, base
+            keep[row] = True
+            base = int(ts[row]), int(temp[row]), int(power[row])
+            at, latest = row + 1, row
+        return at, latest, base
+
 
 def metric_dedup(
     samples: DataFrame,

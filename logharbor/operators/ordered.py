@@ -70,17 +70,40 @@ def key_of(batch: pa.RecordBatch, keys: Sequence[str], row: int) -> tuple:
     return tuple(batch.column(k)[row].as_py() for k in keys)
 
 
-def runs(
-    batches: Iterator[pa.RecordBatch], keys: Sequence[str], inputs: Sequence[str]
-) -> Iterator[tuple[tuple, pa.RecordBatch, Columns]]:
-    """Consecutive rows of one key; a key may come in several pieces."""
+def pack_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task that turns a partition's Arrow batches into one row each, in order.
+
+    The partitions are stored and read again by two passes; a batch is stored and handed
+    over as one value, where single rows would be converted one by one each time.
+    """
+    for batch in batches:
+        if batch.num_rows:
+            sink = pa.BufferOutputStream()
+            rows = batch.drop_columns(["_part"])
+            with pa.ipc.new_stream(sink, rows.schema) as writer:
+                writer.write_batch(rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_part")[:1], pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                names=["_part", "_rows"],
+            )
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.RecordBatch]]:
+    """The stored batches, each with the other values of its row."""
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        columns = numbers(batch, inputs)
-        edges = [0, *key_starts(batch, keys).tolist(), batch.num_rows]
-        for lo, hi in zip(edges, edges[1:]):
-            yield key_of(batch, keys, lo), batch.slice(lo, hi - lo), [c[lo:hi] for c in columns]
+        for n, rows in enumerate(batch.column("_rows")):
+            beside = {c: batch.column(c)[n].as_py() for c in batch.schema.names if c != "_rows"}
+            yield beside, pa.ipc.open_stream(rows.as_buffer()).read_next_batch()
+
+
+def runs(
+    batch: pa.RecordBatch, keys: Sequence[str], inputs: Sequence[str]
+) -> Iterator[tuple[tuple, Columns]]:
+    """Consecutive rows of one key; a key may go on in the next batch."""
+    columns = numbers(batch, inputs)
+    edges = [0, *key_starts(batch, keys).tolist(), batch.num_rows]
+    for lo, hi in zip(edges, edges[1:]):
+        yield key_of(batch, keys, lo), [c[lo:hi] for c in columns]
 
 
 def report_edges(fold: Fold, keys: Sequence[str], schema: pa.Schema):
@@ -88,12 +111,13 @@ def report_edges(fold: Fold, keys: Sequence[str], schema: pa.Schema):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = last = part = None
-        for key, batch, columns in runs(batches, keys, fold.inputs):
-            if first is None:
-                first, part = key, batch.column("_part")[0].as_py()
-            if key != last:
-                last, seen = key, fold.collector()
-            seen.add(columns)
+        for beside, batch in unpacked(batches):
+            for key, columns in runs(batch, keys, fold.inputs):
+                if first is None:
+                    first, part = key, beside["_part"]
+                if key != last:
+                    last, seen = key, fold.collector()
+                seen.add(columns)
         if first is None:
             return
         if first == last:
@@ -139,25 +163,19 @@ def fold_rows(fold: Fold, keys: Sequence[str], schema: pa.Schema, keep_marked: b
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state, started = None, None, False
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            columns = numbers(batch, fold.inputs)
-            edges = [0, *key_starts(batch, keys).tolist(), batch.num_rows]
+        for beside, batch in unpacked(batches):
             results = []
-            for lo, hi in zip(edges, edges[1:]):
-                key = key_of(batch, keys, lo)
+            for key, columns in runs(batch, keys, fold.inputs):
                 if key != current:
-                    state = None if started else batch.column("_entry")[0].as_py()
+                    state = None if started else beside["_entry"]
                     current, started = key, True
-                values, state = fold.run([c[lo:hi] for c in columns], state)
+                values, state = fold.run(columns, state)
                 results.append(values)
-            result = np.concatenate(results)
+            result = pa.array(np.concatenate(results))
             if keep_marked:
-                out = batch.filter(pa.array(result)).select(schema.names)
-                yield out.cast(schema)
+                yield batch.filter(result).select(schema.names).cast(schema)
             else:
-                arrays = [batch.column(n) for n in schema.names[:-1]] + [pa.array(result)]
+                arrays = [batch.column(n) for n in schema.names[:-1]] + [result]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names).cast(schema)
 
     return task
@@ -178,15 +196,15 @@ def ordered_fold(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         df.repartitionByRange(partitions, *keys, *order)
         .sortWithinPartitions(*keys, *order)
         .withColumn("_part", F.spark_partition_id())
+        .mapInArrow(pack_partition, "_part int, _rows binary")
     )
-    # All three passes must see the same partitions. Range bounds are sampled anew when
-    # a plan is run again, hence the reliable checkpoint.
+    # All passes must see the same partitions. Range bounds are sampled anew when a plan is
+    # run again, hence the reliable checkpoint.
     ranged = cut_lineage(ranged)
 
     longs = ArrayType(LongType())
@@ -200,7 +218,7 @@ def ordered_fold(
     ])
     entry_schema = StructType([StructField("_part", IntegerType()), StructField("_entry", longs)])
 
-    reports = ranged.select(*keys, *[c for c in fold.inputs if c not in keys], "_part").mapInArrow(
+    reports = ranged.mapInArrow(
         report_edges(fold, keys, to_arrow_schema(report_schema)), report_schema
     )
     entries = (
@@ -208,8 +226,8 @@ def ordered_fold(
         .sortWithinPartitions(*keys, "_part")
         .mapInArrow(chain_edges(fold, keys, to_arrow_schema(entry_schema)), entry_schema)
     )
-    # At most one entry per range partition, so the size is bounded by the partition
-    # count; a broadcast join also leaves rows and partitions as they are.
+    # At most one entry per range partition, so the size is bounded by the partition count;
+    # a broadcast join also leaves the stored batches and their order as they are.
     seeded = ranged.join(F.broadcast(entries), "_part", "left")
     out_schema = df.schema if result is None else df.schema.add(result, LongType())
     return seeded.mapInArrow(

@@ -16,6 +16,7 @@ from logharbor.operators.integrity import acked_windows, window_decision
 from logharbor.operators.sequence import prefer_plain, ready_prefix
 from logharbor.operators.skew import lookup
 from logharbor.schemas import STREAM, WINDOW
+from logharbor.session import materialize
 
 SENDABLE = ["verified_send", "legacy_send", "line_path"]
 
@@ -34,7 +35,7 @@ def decide_round(
     """
     done = acked_windows(sidecars, acks)
     ready = ready_prefix(prefer_plain(windows), cursors, done)
-    decisions = window_decision(ready, sidecars, sessions, losses)
+    decisions = materialize(window_decision(ready, sidecars, sessions, losses), "decisions")
     stops = decisions.where(~F.col("decision").isin(SENDABLE)).groupBy(*STREAM).agg(
         F.min("window_sequence").alias("_stop")
     )
@@ -82,13 +83,13 @@ def window_round(
     send: Callable[[DataFrame], DataFrame],
     producer: str,
 ) -> dict[str, DataFrame]:
-    """A whole round as one plan, for a ``send`` that may be evaluated again.
+    """A whole round. Decisions and responses are stored, so each request is sent once.
 
     ``send`` takes the sendable windows and returns them with ``status`` and ``body`` of
     the response. Windows with decision ``line_path`` go out as lines (``line_requests``),
     the others verbatim. It sends a stream's windows in order and leaves out those after a
-    refused one. The streaming rounds store its result instead.
+    refused one.
     """
     decisions = decide_round(windows, sidecars, acks, losses, cursors, sessions)
-    responses = send(sendable(decisions))
+    responses = materialize(send(sendable(decisions)), "responses")
     return {"decisions": decisions, **record_round(decisions, responses, acks, losses, cursors, producer)}

@@ -103,10 +103,13 @@ def window_rounds(
     def each(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         tables = RoundTables(spark, base)
+        # The round reads these several times; listing and hashing must happen once.
         sidecars, sessions = control(spark)
+        sidecars = tables.write(sidecars, "sidecars", epoch)
         known = tables.snapshot("windows", epoch, WINDOWS)
         # One row per file: a repeated listing must not double a window.
         seen = known.unionByName(batch.select(known.columns)).dropDuplicates([*WINDOW, "is_gz"])
+        seen = tables.write(seen, "seen", epoch)
         cursors = tables.snapshot("cursors", epoch, CURSORS)
         acks = tables.history("acks", epoch, ACKS)
         losses = tables.history("losses", epoch, LOSSES)
