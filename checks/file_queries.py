@@ -8,9 +8,8 @@ from checks.fixtures import PRODUCER, REL_DIR, fixture, landing_tree, oracle, wi
 from checks.registry import query
 from logharbor.functions import checks as fc
 from logharbor.functions.paths import archive_keys
-from logharbor.operators import integrity, sequence, sessions
-from logharbor.plans.line_path import line_events
-from logharbor.schemas import METRIC_COLUMNS, SESSION, WINDOW
+from logharbor.operators import integrity, sessions
+from logharbor.schemas import SESSION, WINDOW
 from logharbor.session import scratch_path
 from logharbor.sources import files, landing
 from logharbor.streaming.rounds import dedup_rounds, window_rounds
@@ -199,11 +198,14 @@ def stream_lines_of_windows(spark, sf_dir):
 
 
 def sample_stream(spark, sf_dir):
-    """The metric samples as a stream of files that follow each other in time."""
+    """The metric samples as a stream of two triggers that follow each other in time."""
     path = scratch_path(spark, "samples")
     rows = fixture(spark, sf_dir, "metric_rows")
-    rows.repartitionByRange(4, "ts_ms").write.parquet(path)
-    return rows.schema, path
+    half = rows.agg(F.avg("ts_ms")).first()[0]
+    for early in (True, False):
+        part = rows.where((F.col("ts_ms") <= half) == F.lit(early))
+        part.repartitionByRange(4, "ts_ms").write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(path)
 
 
 def dedup_oracle():
@@ -214,25 +216,16 @@ def dedup_oracle():
 
 @query(dedup_oracle())
 def metric_dedup_stream(spark, sf_dir):
-    schema, path = sample_stream(spark, sf_dir)
-    out = scratch_path(spark, "kept")
-    kept = dedup_with_state(spark.readStream.schema(schema).parquet(path))
-    finish(kept.writeStream.format("parquet").option("path", out), spark)
-    return spark.read.schema(schema).parquet(out)
+    stream, out = sample_stream(spark, sf_dir), scratch_path(spark, "kept")
+    finish(dedup_with_state(stream).writeStream.format("parquet").option("path", out), spark)
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 @query(dedup_oracle())
 def metric_dedup_rounds(spark, sf_dir):
-    rows = fixture(spark, sf_dir, "metric_rows")
-    parts, base = scratch_path(spark, "samples"), scratch_path(spark, "rounds")
-    # Two writes, one after the other in time, each read in its own trigger.
-    half = rows.agg(F.avg("ts_ms")).first()[0]
-    for early in (True, False):
-        part = rows.where((F.col("ts_ms") <= half) == F.lit(early))
-        part.repartitionByRange(4, "ts_ms").write.mode("append").parquet(parts)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(parts)
+    stream, base = sample_stream(spark, sf_dir), scratch_path(spark, "rounds")
     finish(dedup_rounds(stream, base, ["session_id", "device_id"], ["ts_ms", "row_no"]), spark)
-    return spark.read.parquet(f"{base}/kept").drop("epoch").select(rows.columns)
+    return spark.read.parquet(f"{base}/kept").drop("epoch").select(stream.columns)
 
 
 TREE_DECIDED = f"""judged AS (SELECT t.*, CASE WHEN NOT is_gz THEN 'line_path' WHEN s.window_id IS NULL THEN

@@ -12,6 +12,7 @@ from logharbor.functions.paths import channel_filter
 from logharbor.operators import clean, packing, sequence
 from logharbor.operators.dedup import metric_dedup as dedup
 from logharbor.schemas import METRIC_COLUMNS, WINDOW
+from logharbor.session import materialize
 from logharbor.plans.line_path import line_events, line_requests
 
 KEY = "folder, session_id, channel, window_sequence, line_no"
@@ -241,8 +242,9 @@ packed AS (SELECT p.*, k.batch_id FROM prepared p JOIN pack k USING (folder, ses
 
 
 def packed(spark, sf_dir):
-    lines = sequence.line_offsets(fixture(spark, sf_dir, "lines"))
-    return packing.pack_batches(clean.clean_lines(lines), PACK_LINES, PACK_BYTES)
+    lines = clean.clean_lines(sequence.line_offsets(fixture(spark, sf_dir, "lines")))
+    stored = materialize(lines.withColumn("size", packing.line_size()), "lines")
+    return packing.pack_batches(stored, PACK_LINES, PACK_BYTES)
 
 
 @query(oracle(f"SELECT {KEY}, batch_id FROM packed", OFFSETS, PACK, recursive=True))

@@ -116,7 +116,8 @@ def pack_batches(
 
     A line is added first and the limits are tested after, so a request may exceed
     ``max_bytes`` by its last line. Limits of zero or less mean the defaults. A ``size``
-    column, if present, is taken as the ``line_size`` of the lines.
+    column, if present, is taken as the ``line_size`` of the lines. The lines are read
+    several times, so costly preparation should be stored before (``session.materialize``).
     """
     fold = PackFold(
         max_lines if max_lines > 0 else MAX_LINES, max_bytes if max_bytes > 0 else MAX_BYTES

@@ -112,3 +112,27 @@ def test_pack_batches_matches_the_sequential_rule(spark, max_lines, max_bytes):
     for group in groups.values():
         expected = pack([len(r[5]) + 1 for r in group], max_lines, max_bytes)
         assert [got[r[4]] for r in group] == expected
+
+
+def test_leaping_changes_nothing():
+    rng = np.random.default_rng(9)
+    plain, eager = ChangeFold(), ChangeFold()
+    plain.leap_share, eager.leap_share = 10**9, 1
+    for trial in range(500):
+        n = int(rng.integers(1, 120))
+        columns = [np.zeros(n, dtype=np.int64) for _ in INPUTS]
+        columns[0] = np.cumsum(rng.integers(0, 30_000, n))
+        columns[1] = rng.integers(40, 40 + int(rng.integers(1, 5)), n)
+        columns[2] = rng.integers(90, 130, n) * int(rng.integers(0, 2))
+        columns[3] = (rng.random(n) < 0.05).astype(np.int64)
+        state = None if trial % 3 == 0 else [int(rng.integers(-90_000, 50_000)), 41, int(rng.integers(0, 2)) * 100, 0, 0, 0, 0]
+        a, b = plain.run([c.copy() for c in columns], state), eager.run([c.copy() for c in columns], state)
+        assert (a[0] == b[0]).all() and a[1] == b[1]
+
+
+def test_folds_of_nothing(spark):
+    empty = spark.createDataFrame([], SAMPLE)
+    assert metric_dedup(empty).count() == 0
+    lines = spark.createDataFrame(
+        [], "folder string, session_id string, channel string, window_sequence bigint, line_no bigint, line string")
+    assert pack_batches(lines).count() == 0
