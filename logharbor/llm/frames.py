@@ -10,10 +10,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Session options of these operators: Arrow batches stay small in rows and in bytes."""
+    """Session options of these operators.
+
+    Arrow batches stay small in rows and in bytes. An operator of several jobs writes each intermediate table
+    to the shared folder, so shuffle files of a job that is done only fill disks: Spark removes them then.
+    """
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
