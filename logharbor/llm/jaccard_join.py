@@ -2,12 +2,12 @@
 
 Two sets of Jaccard similarity t or more share a token among the first ``n - ceil(t * n) + 1`` tokens of
 each, whatever order all tokens are put in. Candidates must pass that test under every order of ``ORDERS``.
+The orders put rare tokens first and differ in how they order tokens of equal frequency, so tokens of one
+text only come first under each and can be left out.
 
-All orders start with a fixed share of the hash space (the *low* tokens), rarest first, and differ in how
-they order tokens of equal frequency; the rest of the tokens follow by hash. So only the low tokens are ever
-counted and shuffled, and a text's prefix lies within them, or within the few more that are kept where a
-text has too few of them. Tokens of one text only come first under every order and can meet no other text;
-they leave before any pair is formed.
+Counting all tokens is saved by a first sieve whose orders begin with a fixed share of the hash space, the
+*low* tokens: only those are counted, and a text all of whose prefix is its own can have no partner. The
+texts that pass, mostly real copies, are then ordered by all their tokens.
 """
 
 from __future__ import annotations
@@ -73,6 +73,28 @@ def sized(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def enough(n: str, place: str, other_n: str, other_place: str, percent: int) -> Column:
+    """At a pair's first shared token, what follows in both texts has to suffice for the overlap."""
+    after = F.least(F.col(n) - F.col(place), F.col(other_n) - F.col(other_place))
+    return after * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
+
+
+def open_slots(sets: DataFrame, percent: int) -> DataFrame:
+    """Texts ``(id, n, tokens)`` whose prefix has room for tokens of other texts.
+
+    Adds ``met`` (tokens that other texts have too, with the number of texts), ``own`` (how many no other
+    has) and ``slots`` (how many of ``met`` belong to the prefix). Counts are of all texts given.
+    """
+    listed = sets.select("id", F.explode("tokens").alias("token"))
+    common = listed.groupBy("token").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    met = listed.join(common, "token").groupBy("id").agg(F.collect_set(F.struct("texts", "token")).alias("met"))
+    own = F.size("tokens") - F.size("met")
+    return (
+        sets.join(met, "id").withColumn("own", own)
+        .withColumn("slots", prefix_length(F.col("n"), percent) - F.col("own")).where("slots > 0")
+    )
+
+
 def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets are similar enough."""
     first = tokens.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
@@ -106,7 +128,8 @@ def similar_texts(
 
     Links are found in two rounds, so that a large group of copies doesn't meet pair by pair: first every
     text of a prefix token's list is checked against one of the list, then only texts still in different
-    components are. Prefix tokens are the rarest, so passages that many texts share hardly ever pair texts.
+    components are, where the shared token's place in both leaves room for enough of an overlap. Prefix
+    tokens are the rarest, so passages that many texts share hardly ever pair texts.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sketch = materialize(
@@ -116,38 +139,42 @@ def similar_texts(
     classes = materialize(usable.groupBy("name").agg(F.min("id").alias("node")), "sets")
     heads = usable.join(classes.select("name", F.col("node").alias("id")), ["name", "id"])
 
-    listed = heads.select("id", F.explode("low").alias("token"))
-    common = listed.groupBy("token").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    met = listed.join(common, "token").groupBy("id").agg(F.collect_set(F.struct("texts", "token")).alias("met"))
-    free = prefix_length(F.col("n"), percent) - (F.size("low") - F.size("met"))
-    prefixes = heads.select("id", "n", "low").join(met, "id").withColumn("free", free).where("free > 0")
+    kind = rows.schema["id"].dataType.simpleString()
+    sieved = open_slots(heads.select("id", "n", F.col("low").alias("tokens")), percent).select("id")
+    sieved = materialize(sieved, "sieved")
+    texts = rows.join(sieved, "id", "left_semi")
+    tokens = materialize(texts.mapInArrow(full_sets(width), f"id {kind}, tokens array<long>"), "tokens")
+
+    ordered = open_slots(tokens.dropDuplicates(["id"]).withColumn("n", F.size("tokens")), percent)
     order = [
         F.slice(F.transform(F.array_sort(F.transform("met", lambda m: F.struct(
             m["texts"].alias("f"), F.xxhash64(m["token"], F.lit(k)).alias("h"), m["token"].alias("token")))),
-            lambda m: m["token"]), F.lit(1), F.col("free")).alias(f"p{k}")
+            lambda m: m["token"]), F.lit(1), F.col("slots")).alias(f"p{k}")
         for k in ORDERS
     ]
-    prefixes = materialize(prefixes.select("id", "n", *order), "prefixes")
-    texts = rows.join(prefixes.select("id"), "id", "left_semi")
-    tokens = materialize(
-        texts.mapInArrow(full_sets(width), f"id {rows.schema['id'].dataType.simpleString()}, tokens array<long>"), "tokens")
-
-    lists = prefixes.select("id", "n", F.posexplode(f"p{ORDERS[0]}").alias("place", "token"))
-    centres = lists.groupBy("token").agg(F.min(F.struct("id", "n")).alias("centre"), F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    around = lists.join(centres, "token").where("id <> centre.id").where(sized("n", "centre.n", percent))
-    around = around.select(F.col("centre.id").alias("a"), F.col("id").alias("b")).distinct()
+    prefixes = materialize(ordered.select("id", "n", "own", *order), "prefixes")
+
+    lists = prefixes.select("id", "n", "own", F.posexplode(f"p{ORDERS[0]}").alias("at", "token"))
+    lists = lists.withColumn("place", F.col("own") + F.col("at")).drop("at")
+    centres = lists.groupBy("token").agg(
+        F.min(F.struct("own", "id", "n", "place")).alias("c"), F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    around = lists.join(centres.select("token", F.col("c.id").alias("id_c"), F.col("c.n").alias("n_c"), F.col("c.place").alias("place_c")), "token")
+    around = around.where((F.col("id") != F.col("id_c")) & sized("n", "n_c", percent) & enough("n", "place", "n_c", "place_c", percent))
+    around = around.select(F.col("id_c").alias("a"), F.col("id").alias("b")).distinct()
     links = materialize(verified(passing(around, prefixes), tokens, percent), "links")
 
     found = connected_components(links).withColumnRenamed("node", "id")
     placed = lists.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    placed = placed.join(mixed.select("token"), "token")
+    placed = materialize(placed.join(mixed.select("token"), "token"), "placed")
     one = placed.select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "component")])
     two = placed.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "component")])
-    # At the first shared token, what follows it in both texts has to suffice for the overlap.
-    after = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    across = one.join(two, "token").where("id_a < id_b AND component_a <> component_b").where(
-        sized("n_a", "n_b", percent) & (after * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent))
+    # The smaller text of a pair has to share so much of itself that its first shared token comes early.
+    one = one.where((F.col("n_a") - F.col("place_a")) * (100 + percent) >= F.col("n_a") * 2 * percent)
+    smaller = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("id_a") < F.col("id_b")))
+    across = one.join(two, "token").where(
+        smaller & (F.col("component_a") != F.col("component_b"))
+        & sized("n_a", "n_b", percent) & enough("n_a", "place_a", "n_b", "place_b", percent))
     across = across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     more = verified(passing(across, prefixes), tokens, percent)
 
