@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logharbor.llm import best_fit, exact_dedup, jaccard_join, pii, toxicity, vector_dedup
+from logharbor.llm import best_fit, exact_dedup, html_text, jaccard_join, pii, secrets, sentencepiece, toxicity, vector_dedup, warc
 from logharbor.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,11 +33,40 @@ def op1_pii_semi_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{kind}')) AS BIGINT)").alias(f"n_{kind}") for kind in secrets.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(F.expr(pii.written("base")).cast("binary"), 256).alias("base_sha256"),
+        F.expr(pii.written("spans")).alias("spans"),
+    )
+
+
 @query
 def op3_embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+ORACLES["op3_embedding_neighbours"] = """
+WITH RECURSIVE e AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND label IS NOT NULL),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+      AND list_cosine_similarity(a.v, b.v) >= 0.98),
+r(vec_id, near) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.near = l.a),
+c AS (SELECT vec_id, min(near) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)"""
+
+
+@query
+def op4_sentencepiece_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return sentencepiece.digests(docs, sentencepiece.load(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
@@ -51,6 +80,11 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM d WINDOW g AS (PARTITION BY text_sha256)"""
 
 
+@query
+def op6_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
@@ -61,6 +95,38 @@ def op8_shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_texts(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+ORACLES["op8_shingle_jaccard"] = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 4 THEN list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))
+                                          WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 85 * (x.n + y.n - k)),
+r(doc_id, near) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.near = l.a),
+c AS (SELECT doc_id, min(near) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)"""
+
+
+@query
+def op9_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).drop("target_uri")
+
+
+ORACLES["op9_warc_dictionary"] = """
+WITH d AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, upper(sha1(coalesce(html, ''))) AS hex FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS response FROM d),
+b AS (SELECT *, list_transform(range(8), lambda i: CAST('0x' || hex[5 * i + 1:5 * i + 5] AS BIGINT)) AS parts FROM f)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(parts, lambda v: concat(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(v >> 15) % 32 + 1], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(v >> 10) % 32 + 1],
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(v >> 5) % 32 + 1], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[v % 32 + 1])), '') AS payload_digest,
+       CASE WHEN response < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response < page_id THEN response END AS refers_to
+FROM b"""
+
+
 @query
 def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
