@@ -12,6 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from logharbor.llm.frames import bounded_sample
+from logharbor.session import materialize
+
 KINDS = ("email", "ip", "card", "phone")
 #: Longest entity, in units (see UNIT), that the segmentation considers.
 ENTITY_UNITS = 24
@@ -310,7 +313,7 @@ def train(docs: DataFrame, text_col: str = "text", regions_at_most: int = TRAINI
     miss and leaves numbers alone. Without any region the model finds nothing.
     """
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(labelled_regions, "region string, labels array<string>")
-    rows = found.orderBy(F.xxhash64("region"), "region").limit(regions_at_most).collect()
+    rows = bounded_sample(materialize(found, "regions"), ["region", "labels"], regions_at_most).collect()
     rng = random.Random(seed)
     samples: list[tuple[str, list[Span]]] = []
     for row in rows:

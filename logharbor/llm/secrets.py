@@ -10,6 +10,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from logharbor.llm.frames import bounded_sample
 from logharbor.session import materialize
 
 KINDS = ("assign", "access", "hex")
@@ -92,7 +93,7 @@ def train(scanned: DataFrame) -> list[float]:
     ordinary = scanned.select(F.explode("candidates.value").alias("value")).where(F.col("value").rlike("^[A-Za-z_-]+$"))
     counts = None
     for label, values in ((1, random), (0, ordinary)):
-        values = values.distinct().orderBy(F.xxhash64("value"), "value").limit(SAMPLES)
+        values = bounded_sample(materialize(values.distinct(), "values"), ["value"], SAMPLES)
         part = values.select(F.explode(transitions(F.col("value"))).alias("pair")).groupBy("pair").count().withColumn("label", F.lit(label))
         counts = part if counts is None else counts.union(part)
     size = len(SYMBOLS) + 1

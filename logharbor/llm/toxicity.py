@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from logharbor.llm.frames import bounded_sample
 from logharbor.session import materialize
 
 #: Labelled documents of each class that the model is fitted on, at most.
@@ -243,8 +244,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
     known = known.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
-    first = [F.xxhash64("id"), F.col("id")]
-    sample = known.where("toxic = 1").orderBy(*first).limit(TOXIC_DOCS).union(known.where("toxic = 0").orderBy(*first).limit(CLEAN_DOCS))
+    known = materialize(known, "labels")
+    sample = bounded_sample(known.where("toxic = 1"), ["id"], TOXIC_DOCS).union(bounded_sample(known.where("toxic = 0"), ["id"], CLEAN_DOCS))
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
     chosen = materialize(chosen.select("id", "text", "toxic"), "labelled").repartition(16)
     nothing = Chain({}, -30.0, 0.0, 0.0, 1.0, -5.0)
@@ -259,9 +260,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     strong = pairs.join(clean, "feature", "left").withColumn("odds", odds).where(F.col("odds") >= ODDS)
     lexicon = frozenset(r["feature"] for r in strong.orderBy(F.desc("bad"), "feature").limit(LEXICON).select("feature").collect())
     windows = chosen.select("text", "toxic").mapInArrow(token_windows(lexicon), "words array<string>, labels array<int>, toxic int")
-    order = [F.xxhash64("words"), F.col("words")]
     windows = materialize(windows, "windows")
-    rows = [windows.where(f"toxic = {k}").orderBy(*order).limit(WINDOWS).collect() for k in (1, 0)]
+    rows = [bounded_sample(windows.where(f"toxic = {k}"), ["words", "labels"], WINDOWS).collect() for k in (1, 0)]
     if not rows[0] or not rows[1]:
         return nothing
     chain = fit_chain([(r["words"], r["labels"]) for part in rows for r in part])

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from logharbor.llm.frames import bounded_sample
 from logharbor.session import materialize, scratch_path
 from logharbor.sources.files import locate
 
@@ -161,8 +162,8 @@ def write_pages(pages: DataFrame, folder: str, least_bytes: int = 0, id_col: str
     first = sizes.where((F.col("bytes") >= least_bytes) & F.col("page_id").isNotNull())
     first = first.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     first = materialize(first.select("digest", "first"), "copies")
-    sample = rows.orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLES).select(
-        "page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html")).collect()
+    sample = bounded_sample(
+        rows.select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html")), ["page_id"], SAMPLES).collect()
     dictionary = build_dictionary([record(r["page_id"], r["url"], r["html"].encode(), "", None) for r in sample])
     refers = F.when(F.col("first") < F.col("page_id"), F.col("first"))
     marked = rows.join(first, "digest", "left").select("page_id", "url", "html", base32(F.col("digest")).alias("digest"), refers.alias("refers_to"))
