@@ -25,8 +25,8 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Labelled samples of each class, at most.
 SAMPLES = 5000
-#: Added to each count of a transition.
-PRIOR = 0.5
+#: Weight, in counts, of how frequent a character is when transitions from the one before it are few.
+PRIOR = 20.0
 #: A string is random if its log-likelihood ratio is at least this, in total and per transition.
 LEAST_TOTAL, LEAST_EACH = 10.0, 0.35
 
@@ -97,14 +97,19 @@ def train(scanned: DataFrame) -> list[float]:
         part = values.select(F.explode(transitions(F.col("value"))).alias("pair")).groupBy("pair").count().withColumn("label", F.lit(label))
         counts = part if counts is None else counts.union(part)
     size = len(SYMBOLS) + 1
-    seen = [[PRIOR] * (size * size) for _ in range(2)]
+    seen = [[0] * (size * size) for _ in range(2)]
     for row in counts.collect():
         seen[row["label"]][row["pair"]] += row["count"]
-    ratios = []
-    for a in range(size):
-        sums = [sum(part[a * size : (a + 1) * size]) for part in seen]
-        ratios += [math.log(seen[1][a * size + b] / sums[1]) - math.log(seen[0][a * size + b] / sums[0]) for b in range(size)]
-    return ratios
+    logs = []
+    for label, part in enumerate(seen):
+        total = sum(part)
+        # Samples of random strings use few alphabets, so half their weight goes to all characters alike.
+        even = 0.5 if label else 0.0
+        single = [even / size + (1 - even) * (sum(part[b::size]) + 0.5) / (total + 0.5 * size) for b in range(size)]
+        rows = [part[a * size : (a + 1) * size] for a in range(size)]
+        learned = [[(n + PRIOR * single[b]) / (sum(row) + PRIOR) for b, n in enumerate(row)] for row in rows]
+        logs.append([math.log(even / size + (1 - even) * p) for row in learned for p in row])
+    return [r - o for o, r in zip(*logs)]
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

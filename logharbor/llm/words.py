@@ -76,8 +76,8 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     words = word_hashes(data, starts, ends)
     first = np.searchsorted(owner, np.arange(len(texts) + 1))
     rolled = words.copy()
-    for k in range(1, width):
-        rolled[: len(words) - k] = mix(rolled[: len(words) - k] * K1 + words[k:]) if len(words) > k else rolled[:0]
+    for k in range(1, min(width, len(words))):
+        rolled[:-k] = mix(rolled[:-k] * K1 + words[k:])
     rolled >>= np.uint64(1)
     sets = []
     for i in range(len(texts)):
