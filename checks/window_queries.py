@@ -145,11 +145,12 @@ def ready_prefix_after_cleanup(spark, sf_dir):
     return ready.select(*WINDOW)
 
 
-@query(oracle(f"""SELECT {S}, CAST(GREATEST(1, COALESCE(file_index, 0)) AS BIGINT) AS window_sequence FROM cursors c
-  WHERE EXISTS (SELECT 1 FROM losses l WHERE l.folder = c.folder AND l.session_id = c.session_id AND l.channel = c.channel
-  AND l.window_sequence = GREATEST(1, COALESCE(c.file_index, 0)))"""))
+@query(oracle(f"""SELECT {S}, CAST(GREATEST(1, COALESCE(file_index, 0)) AS BIGINT) AS window_sequence
+  FROM (SELECT DISTINCT {S} FROM windows UNION SELECT {S} FROM cursors) w LEFT JOIN cursors USING ({S})
+  WHERE ({S}, GREATEST(1, COALESCE(file_index, 0))) IN (SELECT ({S}, window_sequence) FROM losses)"""))
 def prior_failures(spark, sf_dir):
-    return sequence.blocked_streams(fixture(spark, sf_dir, "cursors"), fixture(spark, sf_dir, "losses"))
+    return sequence.blocked_streams(
+        fixture(spark, sf_dir, "windows"), fixture(spark, sf_dir, "cursors"), fixture(spark, sf_dir, "losses"))
 
 
 @query(oracle("""SELECT DISTINCT folder, session_id FROM lines EXCEPT

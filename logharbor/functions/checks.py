@@ -46,9 +46,13 @@ def sidecar_is_valid() -> Column:
 
 
 def checksum_ok(has_sidecar: Column, length: Column, crc32: Column) -> Column:
-    """Stored bytes match the sidecar; a window without sidecar has nothing to match."""
+    """Stored bytes match the sidecar; a window without sidecar has nothing to match.
+
+    Null where the stored bytes are not known: that is no mismatch, unless the length already tells.
+    """
+    stated = F.col("payload_bytes").isNotNull() & F.col("payload_crc32").isNotNull()
     same = (F.col("payload_bytes") == length) & (F.col("payload_crc32") == crc32)
-    return F.when(has_sidecar, F.coalesce(same, F.lit(False))).otherwise(F.lit(True))
+    return F.when(has_sidecar, F.when(stated, same).otherwise(F.lit(False))).otherwise(F.lit(True))
 
 
 def tmp_is_stale(now_ms: Column, newest_mtime_ms: Column) -> Column:

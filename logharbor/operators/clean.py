@@ -134,7 +134,7 @@ def dedup_lines(
     its lines are stored once, parsed, for the passes over them; the lines of the other
     channels go straight through.
     """
-    elsewhere = lines.where(F.col("channel") != DEDUP_CHANNEL)
+    elsewhere = lines.where(~F.col("channel").eqNullSafe(DEDUP_CHANNEL))
     marked = materialize(dedup_applies(lines.where(F.col("channel") == DEDUP_CHANNEL)), "dedup")
     batches = marked.where("batch is not null")
     others = marked.where("batch is null").drop("batch")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from logharbor.functions.checks import checksum_ok, sidecar_is_valid
-from logharbor.operators.sequence import attach_cursors
+from logharbor.operators.sequence import attach_cursors, prefer_plain
 from logharbor.schemas import SESSION, WINDOW
 
 SIDECAR_COLUMNS = [
@@ -64,7 +64,7 @@ def requeue_acked(
 ) -> DataFrame:
     """Compressed payloads before the resume index that were acknowledged but not yet
     cleaned up when the last run stopped."""
-    passed = attach_cursors(windows.where("is_gz"), cursors).where("window_sequence < start_index")
+    passed = attach_cursors(prefer_plain(windows).where("is_gz"), cursors).where("window_sequence < start_index")
     acked = acked_windows(sidecars, acks).select(*WINDOW)
     return passed.join(acked, WINDOW, "left_semi").select(*WINDOW, "file_name")
 
@@ -79,7 +79,7 @@ def window_decision(
     """How each ready window is to be sent.
 
     ``windows`` carries ``length`` and, where it was computed, ``crc32`` of the stored
-    bytes; ``sessions`` carries ``owner_state``. Only a verified window is sent under its
+    bytes; ``sessions`` carries ``owner_state``. Where the bytes could not be read, the window waits. Only a verified window is sent under its
     identity. Permanent decisions come with the reason text of the loss record.
     """
     judged = attach_sidecars(windows, sidecars)
@@ -101,6 +101,7 @@ def window_decision(
         .when(~F.col("has_sidecar"), "retry_wait")
         .when(F.col("malformed"), "permanent_malformed")
         .when(~sidecar_is_valid(), "permanent_mismatch")
+        .when(same.isNull(), "retry_wait")
         .when(~same, "permanent_checksum")
         .otherwise("verified_send")
     )

@@ -109,11 +109,11 @@ def tombstone_skip(windows: DataFrame, acked: DataFrame) -> DataFrame:
     )
 
 
-def blocked_streams(cursors: DataFrame, losses: DataFrame) -> DataFrame:
-    """Streams whose current window already has a loss record."""
-    current = cursors.withColumn(
-        "window_sequence", F.greatest(F.lit(1), F.coalesce("file_index", F.lit(0))).cast("bigint")
-    )
+def blocked_streams(streams: DataFrame, cursors: DataFrame, losses: DataFrame) -> DataFrame:
+    """Streams whose current window already has a loss record; without cursor that is window 1."""
+    known = streams.select(*STREAM).union(cursors.select(*STREAM)).distinct()
+    start = F.greatest(F.lit(1), F.coalesce("file_index", F.lit(0))).cast("bigint")
+    current = known.join(cursors.select(*STREAM, "file_index"), STREAM, "left").select(*STREAM, start.alias("window_sequence"))
     return current.join(losses.select(*WINDOW).distinct(), WINDOW, "left_semi").select(*WINDOW)
 
 

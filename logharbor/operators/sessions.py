@@ -11,7 +11,6 @@ from logharbor.schemas import (
     CHANNELS,
     FAILED_MARKER,
     FLAT_FILE,
-    LOSS_FILE,
     SESSION,
     SESSION_END_GRACE_MS,
     SESSION_SIDECAR,
@@ -90,13 +89,6 @@ def session_catalog(entries: DataFrame, sources: DataFrame | None = None) -> Dat
     return lookup(catalog, types, ["source"], ["session_id"], how="inner")
 
 
-def settled_sessions(entries: DataFrame) -> DataFrame:
-    """Directories with an outcome marker."""
-    return entries.where(~F.col("is_dir") & F.col("name").isin(UPLOADED_MARKER, FAILED_MARKER)).select(
-        "folder", "rel_dir", F.substring("name", 2, 100).alias("outcome")
-    )
-
-
 def pending_sessions(sessions: DataFrame, settled: DataFrame) -> DataFrame:
     return sessions.join(settled.select(*SESSION).distinct(), SESSION, "left_anti")
 
@@ -162,10 +154,14 @@ def session_completion(states: DataFrame, sessions: DataFrame) -> DataFrame:
         F.bool_and(F.col("state").startswith("finished")).alias("done"),
         F.bool_or(F.col("state") == "finished_orphaned").alias("orphaned"),
     )
-    folded = per_channel.groupBy(*SESSION).agg(
-        F.count_if("done").alias("channels_done"), F.bool_or("orphaned").alias("orphaned")
+    # A finished channel that isn't configured says nothing about one that is and still waits.
+    configured = sessions.select(*SESSION, F.explode("log_types").alias("channel"))
+    folded = configured.join(per_channel, [*SESSION, "channel"], "left").groupBy(*SESSION).agg(
+        F.count_if(F.coalesce("done", F.lit(False))).alias("channels_done"),
+        F.bool_or(F.coalesce("orphaned", F.lit(False))).alias("orphaned"),
     )
-    return sessions.select(*SESSION, F.size("log_types").cast("bigint").alias("channels_expected")).join(
+    readable = [c for c in ("readable",) if c in sessions.columns]
+    return sessions.select(*SESSION, F.size("log_types").cast("bigint").alias("channels_expected"), *readable).join(
         folded, SESSION
     ).withColumn("complete", F.col("channels_done") >= F.col("channels_expected"))
 
@@ -175,13 +171,16 @@ def settle_sessions(
 ) -> DataFrame:
     """Outcome of each complete session, and whether its completion is signalled.
 
-    A session with loss has failed, is never pruned and never signalled. An orphaned one
-    without loss has failed (or is pruned) but is signalled, as all its windows are sent.
+    A session with loss has failed, is never pruned and never signalled; so has one whose directory could
+    not be read (``readable``), as losses may lie in it. An orphaned one without loss has failed (or is
+    pruned) but is signalled, as all its windows are sent.
     """
     lost = losses.select(*SESSION).distinct().withColumn("has_loss", F.lit(True))
     judged = completion.where("complete").join(lost, SESSION, "left").withColumn(
         "has_loss", F.coalesce("has_loss", F.lit(False))
     )
+    if "readable" in completion.columns:
+        judged = judged.withColumn("has_loss", F.col("has_loss") | ~F.coalesce("readable", F.lit(False)))
     outcome = (
         F.when(F.col("has_loss"), "failed")
         .when(F.col("orphaned"), "pruned" if prune_failed else "failed")
@@ -223,7 +222,3 @@ def drain_status(
         "drained",
         F.col("started_any") & F.col("channels_closed") & F.col("cleanup_idle") & ~F.col("any_active"),
     )
-
-
-def loss_entries(entries: DataFrame) -> DataFrame:
-    return entries.where(~F.col("is_dir") & F.col("name").rlike(LOSS_FILE))

@@ -28,7 +28,6 @@ SESSION_SIDECAR = r"^\.[A-Za-z0-9]+-window\.(device|scope|system|sass)\.[1-9][0-
 ACK_FILE = r"^\.([A-Za-z0-9]+)-window-ack\.([A-Za-z0-9_-]+)\.([1-9][0-9]*)$"
 LOSS_FILE = r"^\.([A-Za-z0-9]+)-transport-loss\.(.*)$"
 AGENT_LOSS_FILE = r"^\.[A-Za-z0-9]+-transport-loss\.agent-([A-Za-z0-9_-]+)\.([0-9]+)\.json$"
-LOCK_FILE = r"^\.[A-Za-z0-9]+-session\.lock$"
 FLAT_FILE = r"^(.+)\.(device|scope|system|sass)(?:\.\d+)?\.log(?:\.gz)?$"
 
 FORCE_EMIT_MS = 60_000
@@ -53,7 +52,6 @@ SESSION = ["folder", "session_id"]
 WINDOW = [*STREAM, "window_sequence"]
 
 # Integer metrics of a device sample, in the order in which the dedup state keeps them.
-METRIC_INTS = ["gpu_util", "mem_util", "temp_c", "power_mw", "clock_sm"]
 METRIC_COLUMNS = ["device_id", "gpu_util", "mem_util", "temp_c", "power_mw", "used_mib", "clock_sm"]
 
 SIDECAR = T.StructType([

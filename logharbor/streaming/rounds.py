@@ -14,9 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from logharbor.operators.dedup import metric_dedup_from
 from logharbor.plans.window_path import decide_round, record_round, sendable
 from logharbor.schemas import STREAM, WINDOW
-from logharbor.sources.files import locate
 
-from pyarrow import fs
 
 
 def _fields(names, kinds) -> T.StructType:
@@ -47,16 +45,15 @@ class RoundTables:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def snapshot(self, table: str, epoch: int, schema: T.StructType) -> DataFrame:
-        """The table as the previous micro-batch left it."""
-        path = f"{self.base}/{table}/epoch={epoch - 1}"
-        if epoch == 0 or not self._exists(path):
+        """The table as the previous micro-batch left it; that it is missing after the first is an error."""
+        if epoch == 0:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).parquet(f"{self.base}/{table}/epoch={epoch - 1}")
 
     def history(self, table: str, epoch: int, schema: T.StructType) -> DataFrame:
-        """All rows that earlier micro-batches added."""
+        """All rows that earlier micro-batches added; a missing table after the first is an error."""
         path = f"{self.base}/{table}"
-        if not self._exists(path):
+        if epoch == 0:
             return self.spark.createDataFrame([], schema)
         dated = T.StructType([*schema.fields, T.StructField("epoch", LONG)])
         return self.spark.read.schema(dated).parquet(path).where(f"epoch < {epoch}").drop("epoch")
@@ -64,11 +61,6 @@ class RoundTables:
     def all(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.base}/{table}").drop("epoch")
 
-    @staticmethod
-    def _exists(path: str) -> bool:
-        system, inner = locate(path)
-        return system.get_file_info(inner).type != fs.FileType.NotFound
-
 
 def dedup_rounds(samples: DataFrame, base: str, key_cols, order_cols) -> DataStreamWriter:
     """Keep changed samples of a stream in table ``kept``.

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logharbor.functions.checks import since_cutoff, tmp_is_stale
-from logharbor.operators import sessions
+from logharbor.operators import sessions, sessions as ops
 from logharbor.plans.settlement import settlement
 
 CHANNEL = ("folder string, session_id string, channel string, has_failure boolean, next_present boolean, "
@@ -98,3 +98,20 @@ def test_cutoffs(spark):
     row = df.select(tmp_is_stale(F.col("edge"), F.lit(0)), tmp_is_stale(F.col("over"), F.lit(0)),
                     since_cutoff(F.col("edge"), 30_000), since_cutoff(F.col("edge"), 30_001), since_cutoff(F.col("edge"), 0)).first()
     assert tuple(row) == (False, True, True, False, True)
+
+
+def test_a_finished_channel_that_is_not_configured_settles_nothing(spark):
+    states = spark.createDataFrame(
+        [("f", "s", "device", "finished_clean"), ("f", "s", "system", "finished_clean"), ("f", "s", "scope", "waiting")],
+        "folder string, session_id string, channel string, state string")
+    sessions = spark.createDataFrame([("f", "s", ["device", "scope"])], "folder string, session_id string, log_types array<string>")
+    row = ops.session_completion(states, sessions).first()
+    assert (row.channels_expected, row.channels_done, row.complete) == (2, 1, False)
+
+
+def test_an_unreadable_session_is_never_uploaded(spark):
+    states = spark.createDataFrame([("f", "s", "device", "finished_clean")], "folder string, session_id string, channel string, state string")
+    sessions = spark.createDataFrame([("f", "s", ["device"], False)], "folder string, session_id string, log_types array<string>, readable boolean")
+    losses = spark.createDataFrame([], "folder string, session_id string")
+    row = ops.settle_sessions(ops.session_completion(states, sessions), losses).first()
+    assert (row.outcome, row.complete_signal) == ("failed", False)

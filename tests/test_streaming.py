@@ -5,6 +5,7 @@ import time
 import zlib
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from logharbor.sources import files, landing
@@ -55,7 +56,10 @@ def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
     assert sorted(r.n for r in tables.history("t", 2, df.schema).collect()) == [1, 2]
     assert [r.n for r in tables.history("t", 1, df.schema).collect()] == [1]
     assert [r.n for r in tables.snapshot("t", 1, df.schema).collect()] == [1]
-    assert tables.snapshot("t", 0, df.schema).count() == 0 and tables.history("other", 1, df.schema).count() == 0
+    assert tables.snapshot("t", 0, df.schema).count() == 0 and tables.history("other", 0, df.schema).count() == 0
+    for lost in (tables.snapshot, tables.history):
+        with pytest.raises(AnalysisException):
+            lost("other", 1, df.schema)
 
 
 def put_window(root, n, text, sidecar=True, fault=0):

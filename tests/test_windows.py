@@ -127,8 +127,10 @@ def test_acked_payloads_below_the_cursor_are_requeued(spark):
 
 def test_blocked_streams(spark):
     losses = spark.createDataFrame([(*STREAM, 1)], KEYED)
-    assert numbers(sequence.blocked_streams(cursors(spark, (0, 0)), losses)) == [1]
-    assert numbers(sequence.blocked_streams(cursors(spark, (2, 0)), losses)) == []
+    streams, none = windows(spark, [1]), cursors(spark, (0, 0)).limit(0)
+    assert numbers(sequence.blocked_streams(streams, none, losses)) == [1]
+    assert numbers(sequence.blocked_streams(streams, cursors(spark, (0, 0)), losses)) == [1]
+    assert numbers(sequence.blocked_streams(streams, cursors(spark, (2, 0)), losses)) == []
 
 
 @pytest.mark.parametrize("results,after", [
