@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logharbor import prepare
@@ -39,6 +42,13 @@ def fresh(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, for functions whose arrays are many times the size of a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def bounded_sample(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
     """At most ``rows`` rows, those first by hash of the keys; the same rows however the frame is split.
 

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logharbor.llm.components import connected_components
+from logharbor.llm.frames import sliced
 from logharbor.llm.words import mix, shingle_sets
 from logharbor.session import materialize
 
@@ -39,7 +40,7 @@ def sketch_sets(width: int, percent: int):
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in sliced(batches):
                 sets = shingle_sets(batch.column(1), width)
                 names, low = [], []
                 for tokens in sets:
@@ -60,7 +61,7 @@ def sketch_sets(width: int, percent: int):
 def full_sets(width: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in sliced(batches):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(shingle_sets(batch.column(1), width), pa.list_(pa.int64()))],
                     names=["id", "tokens"])
