@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logharbor.llm.frames import bounded_sample
+from logharbor.llm.frames import bounded_sample, sliced
 from logharbor.session import materialize
 
 #: Labelled documents of each class that the model is fitted on, at most.
@@ -215,7 +215,7 @@ def tag(chain: Chain, offsets: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emit = Emissions(chain)
-        for batch in batches:
+        for batch in sliced(batches, 512):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             scores = [np.array([emit[w] for w in WORD.findall(t)]) for t in texts]
             chances = marginals(scores, chain.turn, chain.stay)
@@ -292,7 +292,7 @@ def drop_toxic(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col:
     tagger = tag(chain, False)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 512):
             pair = pa.RecordBatch.from_arrays([batch.column(place), batch.column(place)], names=["id", "text"])
             mass = next(tagger(iter([pair]))).column(1).to_numpy()
             yield batch.filter(pa.array(chain.slope * np.log1p(mass) + chain.base < 0))
