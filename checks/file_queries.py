@@ -106,18 +106,18 @@ def head_signature(spark, sf_dir):
   CASE WHEN malformed THEN NULL ELSE payload_file END AS payload_file
   FROM tree JOIN (SELECT * FROM sidecars) USING ({W})""", TREE))
 def scan_sidecars(spark, sf_dir):
-    found = relative(landing.scan_sidecars(entries(spark, sf_dir)), spark, sf_dir)
+    found = relative(landing.scan_sidecars(entries(spark, sf_dir), PRODUCER), spark, sf_dir)
     return found.drop("opened_mono_ms", "payload_bytes", "payload_crc32")
 
 
 @query(oracle(f"SELECT {TREE_W}, window_id FROM tree JOIN acks USING ({W})", TREE))
 def scan_acks(spark, sf_dir):
-    return relative(landing.scan_acks(entries(spark, sf_dir)), spark, sf_dir)
+    return relative(landing.scan_acks(entries(spark, sf_dir), PRODUCER), spark, sf_dir)
 
 
 @query(oracle(f"SELECT {TREE_W}, source, reason FROM tree JOIN losses USING ({W})", TREE))
 def scan_losses(spark, sf_dir):
-    return relative(landing.scan_losses(entries(spark, sf_dir)), spark, sf_dir)
+    return relative(landing.scan_losses(entries(spark, sf_dir), PRODUCER), spark, sf_dir)
 
 
 @query(oracle(f"SELECT {PARENT} AS folder, session_id, 'uploaded' AS outcome FROM sessions WHERE owner_state = 'UNOWNED'"))
@@ -240,7 +240,7 @@ def control_tables(spark, sf_dir):
     owners = fixture(spark, sf_dir, "sessions").select(F.expr(PARENT).alias("folder"), "session_id", "owner_state")
     root = landing_tree(spark, sf_dir)
     placed = owners.withColumn("folder", F.regexp_replace(F.concat_ws("/", F.lit(root), "folder"), "/$", ""))
-    return landing.scan_sidecars(entries(spark, sf_dir)), placed
+    return landing.scan_sidecars(entries(spark, sf_dir), PRODUCER), placed
 
 
 @query(oracle(f"SELECT {TREE_W}, decision FROM judged", TREE, TREE_DECIDED))

@@ -111,16 +111,22 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = batch.column("line").to_pylist()
         rewritten = pc.equal(batch.column("action"), "rewrite")
         for n in np.flatnonzero(rewritten.to_numpy(zero_copy_only=False)).tolist():
-            root = json.loads(texts[n])
-            root["rows"] = [root["rows"][row] for row in batch.column("kept_rows")[n].as_py()]
-            texts[n] = json.dumps(root, separators=(",", ":"), ensure_ascii=False)
+            try:
+                root = json.loads(texts[n])
+                root["rows"] = [root["rows"][row] for row in batch.column("kept_rows")[n].as_py()]
+                text = json.dumps(root, separators=(",", ":"), ensure_ascii=False)
+                text.encode()
+            except (ValueError, RecursionError):
+                continue  # what can't be written anew, such as half a surrogate pair, goes out as it came
+            texts[n] = text
         at = batch.schema.get_field_index("line")
         yield batch.set_column(at, "line", pa.array(texts, pa.string()))
 
 
 def repack_metric_batch(summary: DataFrame) -> DataFrame:
     """Lines to send for deduplicated batches: the original text if every row was kept,
-    else the batch with the kept rows; none if no row was kept."""
+    else the batch with the kept rows; none if no row was kept. A batch that can't be
+    written anew goes out whole."""
     sent = summary.where("action <> 'drop'").drop("batch")
     return sent.mapInArrow(_rewrite, sent.schema)
 

@@ -40,18 +40,27 @@ def acked_windows(sidecars: DataFrame, acks: DataFrame) -> DataFrame:
     )
 
 
-def cleanup_manifest(windows: DataFrame, sidecars: DataFrame, acks: DataFrame) -> DataFrame:
+def cleanup_manifest(
+    windows: DataFrame, sidecars: DataFrame, acks: DataFrame, archived: DataFrame | None = None
+) -> DataFrame:
     """Which payloads may be deleted, and why the others are kept.
 
     Only a compressed payload whose valid sidecar was acknowledged by its own id may go.
+    With ``archived``, the rows that ``archive_windows`` gave, its copy must be there too.
     """
     acked = acked_windows(sidecars, acks).select(*WINDOW, F.lit(True).alias("acked"))
     judged = attach_sidecars(windows, sidecars).join(acked, WINDOW, "left")
+    if archived is None:
+        judged = judged.withColumn("_copied", F.lit(True))
+    else:
+        whole = archived.where(F.col("status").isin("copied", "present")).select(*WINDOW).distinct()
+        judged = judged.join(whole.withColumn("_copied", F.lit(True)), WINDOW, "left")
     reason = (
         F.when(~F.col("is_gz"), "not_compressed")
         .when(~F.col("has_sidecar"), "no_sidecar")
         .when(~sidecar_is_valid(), "sidecar_mismatch")
         .when(F.col("acked").isNull(), "not_acknowledged")
+        .when(F.col("_copied").isNull(), "not_archived")
         .otherwise("acknowledged")
     )
     return judged.select(*WINDOW, "file_name", reason.alias("reason")).withColumn(
@@ -79,8 +88,9 @@ def window_decision(
     """How each ready window is to be sent.
 
     ``windows`` carries ``length`` and, where it was computed, ``crc32`` of the stored
-    bytes; ``sessions`` carries ``owner_state``. Where the bytes could not be read, the window waits. Only a verified window is sent under its
-    identity. Permanent decisions come with the reason text of the loss record.
+    bytes; ``sessions`` carries ``owner_state``. Where the bytes could not be read, the
+    window waits. Only a verified window is sent under its identity. Permanent decisions
+    come with the reason text of the loss record.
     """
     judged = attach_sidecars(windows, sidecars)
     owners = sessions.select(*SESSION, "owner_state")

@@ -45,9 +45,12 @@ def legacy_flat_files(entries: DataFrame) -> DataFrame:
     return flat.groupBy("folder").agg(F.min("name").alias("file_name"))
 
 
-def _candidate_dirs(entries: DataFrame) -> DataFrame:
+def _candidate_dirs(entries: DataFrame, producer: str | None) -> DataFrame:
     """Directories at depth one or two that directly hold a channel file or a sidecar."""
-    evidence = ~F.col("is_dir") & (F.col("name").rlike(CHANNEL_FILE) | F.col("name").rlike(SESSION_SIDECAR))
+    sidecar = F.col("name").rlike(SESSION_SIDECAR)
+    if producer is not None:
+        sidecar = sidecar & F.col("name").startswith(f".{producer}-")
+    evidence = ~F.col("is_dir") & (F.col("name").rlike(CHANNEL_FILE) | sidecar)
     settled = ~F.col("is_dir") & F.col("name").isin(UPLOADED_MARKER, FAILED_MARKER)
     return (
         entries.where("rel_dir <> ''")
@@ -60,13 +63,16 @@ def _candidate_dirs(entries: DataFrame) -> DataFrame:
     )
 
 
-def session_catalog(entries: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+def session_catalog(
+    entries: DataFrame, sources: DataFrame | None = None, producer: str | None = None
+) -> DataFrame:
     """Sessions below the source folders: ``<folder>/<session>``, or one level deeper below
     a directory that is not itself a session.
 
-    ``folder`` of the result is the session's parent directory.
+    ``folder`` of the result is the session's parent directory. With ``producer``, a sidecar
+    shows a session only if it carries that name.
     """
-    found = _candidate_dirs(entries)
+    found = _candidate_dirs(entries, producer)
     flat = found.where(F.size("_parts") == 1)
     nested = found.where(F.size("_parts") == 2).withColumn("_group", F.col("_parts")[0])
     taken = flat.select("folder", F.col("rel_dir").alias("_group"))

@@ -1,8 +1,7 @@
 """Record layouts and fixed values of the landing zone.
 
 Marker files carry the name of the program that wrote them
-(``.<producer>-window.device.3.json``). Readers accept any producer name; writers
-take it as an argument.
+(``.<producer>-window.device.3.json``), which readers and writers take as an argument.
 """
 
 from __future__ import annotations

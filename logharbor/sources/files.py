@@ -11,6 +11,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -80,28 +81,42 @@ LINE_FIELDS = [
 ]
 
 
-def read_lines(windows: DataFrame, tasks: int | None = None) -> DataFrame:
+def read_lines(windows: DataFrame, tasks: int | None = None, with_faults: bool = False) -> DataFrame:
     """Lines of the given log windows (``path``, ``is_gz``), plain or gzip.
 
     Lines end at ``\\n`` only and are numbered from 1. Byte positions are those of the
     uncompressed content and include the newline; bytes that are not UTF-8 are replaced.
     The columns of ``windows`` other than the path are kept.
+
+    A file that can't be read to its end, say a truncated gzip, ends the job. With
+    ``with_faults`` it ends only its own window: after the whole lines before the fault
+    comes a row without line whose ``fault`` says what happened, from where to retry.
     """
     kept = [f for f in windows.schema.fields if f.name not in ("path", "is_gz")]
-    schema = T.StructType([*kept, *LINE_FIELDS])
+    fault = [T.StructField("fault", T.StringType())] if with_faults else []
+    schema = T.StructType([*kept, *LINE_FIELDS, *fault])
     arrow = to_arrow_schema(schema)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
                 path, is_gz = batch.column("path")[n].as_py(), batch.column("is_gz")[n].as_py()
-                count = 0
-                for lines, starts, ends in _file_lines(path, is_gz):
+                count = at = 0
+
+                def rows(numbers, starts, ends, lines, reason=None) -> pa.RecordBatch:
                     same = [pa.repeat(batch.column(f.name)[n], len(lines)) for f in kept]
-                    numbers = np.arange(count + 1, count + 1 + len(lines))
-                    count += len(lines)
-                    arrays = [*same, pa.array(numbers), pa.array(starts), pa.array(ends), lines]
-                    yield pa.RecordBatch.from_arrays(arrays, names=arrow.names).cast(arrow)
+                    said = [pa.array([reason] * len(lines), pa.string())] if with_faults else []
+                    arrays = [*same, pa.array(numbers), pa.array(starts), pa.array(ends), lines, *said]
+                    return pa.RecordBatch.from_arrays(arrays, names=arrow.names).cast(arrow)
+
+                try:
+                    for lines, starts, ends in _file_lines(path, is_gz):
+                        yield rows(np.arange(count + 1, count + 1 + len(lines)), starts, ends, lines)
+                        count, at = count + len(lines), int(ends[-1])
+                except OSError as error:
+                    if not with_faults:
+                        raise
+                    yield rows([count + 1], [at], [at], pa.array([None], pa.string()), str(error))
 
     return spread_files(windows, tasks=tasks).mapInArrow(task, schema)
 
@@ -109,13 +124,19 @@ def read_lines(windows: DataFrame, tasks: int | None = None) -> DataFrame:
 # -- checksums -----------------------------------------------------------------------
 
 
-def _digest(path: str, is_gz: bool) -> tuple[int, int, int]:
-    """Length and CRC32 of the stored bytes, and the signature of the uncompressed head."""
-    system, inner = locate(path)
+def _sum(system: fs.FileSystem, inner: str) -> tuple[int, int]:
+    """Length and CRC32 of the stored bytes."""
     crc = length = 0
     with system.open_input_stream(inner, compression=None) as stream:
         while chunk := stream.read(BLOCK):
             crc, length = zlib.crc32(chunk, crc), length + len(chunk)
+    return length, crc
+
+
+def _digest(path: str, is_gz: bool) -> tuple[int, int, int]:
+    """Length and CRC32 of the stored bytes, and the signature of the uncompressed head."""
+    system, inner = locate(path)
+    length, crc = _sum(system, inner)
     try:
         with system.open_input_stream(inner, compression="gzip" if is_gz else None) as stream:
             head = stream.read(HEAD_SIGNATURE_BYTES)
@@ -127,7 +148,7 @@ def _digest(path: str, is_gz: bool) -> tuple[int, int, int]:
 def hash_payloads(windows: DataFrame, tasks: int | None = None) -> DataFrame:
     """Add ``length``, ``crc32`` and ``head_sig``; the bytes never leave the reading task.
 
-    A file that vanished in the meantime gets nulls.
+    A file that vanished in the meantime or can't be read gets nulls.
     """
     kept = [f for f in windows.schema.fields if f.name not in ("length", "crc32", "head_sig")]
     added = [T.StructField(n, T.LongType()) for n in ("length", "crc32", "head_sig")]
@@ -140,7 +161,7 @@ def hash_payloads(windows: DataFrame, tasks: int | None = None) -> DataFrame:
             for path, is_gz in zip(batch.column("path").to_pylist(), batch.column("is_gz").to_pylist()):
                 try:
                     found.append(_digest(path, is_gz))
-                except FileNotFoundError:
+                except OSError:
                     found.append((None, None, None))
             columns = list(zip(*found)) or [[], [], []]
             arrays = [batch.column(f.name) for f in kept]
@@ -212,42 +233,61 @@ def write_new_files(files: DataFrame, tasks: int | None = None) -> DataFrame:
     return spread_files(files, tasks=tasks).mapInArrow(task, schema)
 
 
+def _archive(path: str, target: str) -> tuple[int | None, str]:
+    """Copy a file where nothing lies yet; byte count and status."""
+    system, inner = locate(path)
+    out_system, out_inner = locate(target)
+    if out_system.get_file_info(out_inner).type != fs.FileType.NotFound:
+        here, there = _sum(system, inner), _sum(out_system, out_inner)
+        return (here[0], "present") if here == there else (None, "conflict")
+    copied = 0
+
+    def copy(out) -> None:
+        nonlocal copied
+        with system.open_input_stream(inner, compression=None) as stream:
+            while chunk := stream.read(BLOCK):
+                out.write(chunk)
+                copied += len(chunk)
+
+    _publish(out_system, out_inner, copy)
+    return copied, "copied"
+
+
+def _encoded(folder: str) -> str:
+    """A relative path that no other folder gets; its parts hold no special characters."""
+    parts = [quote(part, safe="") or "%" for part in folder.split("/")]
+    return "/".join(part.replace(".", "%2E") if part in (".", "..") else part for part in parts)
+
+
 def archive_windows(windows: DataFrame, destination: str, tasks: int | None = None) -> DataFrame:
-    """Copy each payload unchanged to ``<destination>/<session>/<archive_key>`` and return the
-    manifest with the copied byte count.
+    """Copy each payload unchanged to ``<destination>/<folder>/<session>/<archive_key>`` and
+    return the manifest with the byte count.
 
-    The session is part of the path because the key alone holds only the file name.
+    Folder and session are part of the path because the key alone holds only the file name.
+    ``status`` is ``copied``; ``present`` where the same bytes lay there already, so a
+    repeated task changes nothing; ``conflict`` where other bytes do, which are left alone;
+    ``unreadable`` where the payload or the target failed.
     """
     schema = T.StructType([
         *[windows.schema[c] for c in WINDOW],
         T.StructField("archive_path", T.StringType()),
         T.StructField("copied_bytes", T.LongType()),
+        T.StructField("status", T.StringType()),
     ])
     arrow = to_arrow_schema(schema)
     root = destination.rstrip("/")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            targets, sizes = [], []
+            done = []
             for row in batch.select(["path", "folder", "session_id", "archive_key"]).to_pylist():
-                scope = re.sub(r"[^A-Za-z0-9_.-]+", "_", row["folder"]).strip("_")
-                target = f"{root}/{scope}/{row['session_id']}/{row['archive_key']}"
-                system, inner = locate(row["path"])
-                out_system, out_inner = locate(target)
-                copied = 0
-
-                def copy(out):
-                    nonlocal copied
-                    with system.open_input_stream(inner, compression=None) as stream:
-                        while chunk := stream.read(BLOCK):
-                            out.write(chunk)
-                            copied += len(chunk)
-
-                _publish(out_system, out_inner, copy)
-                targets.append(target)
-                sizes.append(copied)
+                target = f"{root}/{_encoded(row['folder'])}/{_encoded(row['session_id'])}/{row['archive_key']}"
+                try:
+                    done.append((target, *_archive(row["path"], target)))
+                except OSError:
+                    done.append((target, None, "unreadable"))
             arrays = [batch.column(c) for c in WINDOW]
-            arrays += [pa.array(targets, pa.string()), pa.array(sizes, pa.int64())]
+            arrays += [pa.array(c) for c in zip(*done)] if done else [pa.array([])] * 3
             yield pa.RecordBatch.from_arrays(arrays, names=arrow.names).cast(arrow)
 
     return spread_files(windows, tasks=tasks).mapInArrow(task, schema)

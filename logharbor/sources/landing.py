@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,9 +13,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from logharbor.functions.paths import parse_window_path
+from logharbor.operators.sessions import session_catalog
+from logharbor.operators.skew import lookup
 from logharbor.schemas import (
     ACK_FILE,
     AGENT_LOSS_FILE,
+    CHANNELS,
     CURSOR_FILE,
     FAILED_MARKER,
     LOSS,
@@ -56,8 +60,6 @@ def listing(path: str) -> list[fs.FileInfo]:
 
 class LandingReader(DataSourceReader):
     def __init__(self, options: dict):
-        import re
-
         self.folders = [f.rstrip("/") for f in json.loads(options["folders"])]
         self.wanted = re.compile(options["content"]) if options.get("content") else None
 
@@ -161,38 +163,63 @@ def _numbered(pattern: str, channel: int, sequence: int) -> list[Column]:
     ]
 
 
-def list_windows(entries: DataFrame) -> DataFrame:
-    """Log windows of the listing, without opening them."""
-    found = entries.where(~F.col("is_dir") & F.col("name").rlike(PAYLOAD_FILE))
+def list_windows(entries: DataFrame, producer: str | None = None) -> DataFrame:
+    """Log windows of the listing's sessions, without opening them.
+
+    Files elsewhere (beside the sessions, in hidden or working directories, below a
+    session) are no windows. ``producer`` as in ``session_catalog``.
+    """
+    found = entries.where(~F.col("is_dir") & F.col("name").rlike(PAYLOAD_FILE) & (F.col("rel_dir") != ""))
     paths = found.withColumn("path", F.concat_ws("/", "folder", "rel_dir", "name"))
-    return parse_window_path(paths.drop("folder")).select(
+    windows = parse_window_path(paths.drop("folder")).select(
         *WINDOW, F.col("name").alias("file_name"), "path", "is_gz",
         F.col("size").alias("length"), "mtime_ms",
     )
+    known = session_catalog(entries, producer=producer).select(*SESSION)
+    return lookup(windows, known, SESSION, ["channel", "window_sequence"], how="left_semi")
+
+
+def in_zone(path: Column, folders: list[str]) -> Column:
+    """Whether a file lies where a session's files do: ``<folder>/[<group>/]<session>/<file>``."""
+    scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    roots = "|".join(re.escape(re.sub(scheme, "", folder).rstrip("/")) for folder in folders)
+    return F.regexp_replace(path, scheme, "").rlike(rf"^(?:{roots})/+(?:[^/.][^/]*/+){{1,2}}[^/]+$")
 
 
 def scan_windows(spark: SparkSession, folders: list[str], with_content: bool = False) -> DataFrame:
-    """Log windows by Spark's own binary file source; the bytes are read only on request."""
+    """Log windows by Spark's own binary file source; the bytes are read only on request.
+
+    Windows below a directory that itself holds windows are left out, as in ``list_windows``.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.log*")
         .load(folders)
+        .where(in_zone(F.col("path"), folders))
     )
     columns = [F.unix_millis("modificationTime").alias("mtime_ms"), "length"]
     named = files.select(
         F.regexp_replace("path", "^file:/+", "/").alias("path"), *columns,
         *(["content"] if with_content else []),
     )
-    return parse_window_path(named).withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+    windows = parse_window_path(named).withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+    above = parse_window_path(files.select(F.regexp_replace("path", "^file:/+", "/").alias("path")))
+    above = above.where(F.col("channel").isin(CHANNELS)).select(F.concat_ws("/", *SESSION).alias("folder")).distinct()
+    return lookup(windows, above, ["folder"], ["session_id", "window_sequence"], how="left_anti")
+
+
+def written_by(entries: DataFrame, producer: str) -> DataFrame:
+    """Entries that carry the producer's name, so that no other program's marker counts."""
+    return entries.where(F.col("name").startswith(f".{producer}-"))
 
 
-def scan_sidecars(entries: DataFrame) -> DataFrame:
-    """Sidecars (entries with content) by the window that their name refers to.
+def scan_sidecars(entries: DataFrame, producer: str) -> DataFrame:
+    """Sidecars (entries with content) of a producer, by the window that their name refers to.
 
     Unreadable text gives a row flagged ``malformed``; absent numbers are 0.
     """
-    found = _named(entries, SIDECAR_FILE)
+    found = _named(written_by(entries, producer), SIDECAR_FILE)
     schema = T.StructType([*SIDECAR.fields, T.StructField("_corrupt", T.StringType())])
     record = F.from_json("content", schema, {"columnNameOfCorruptRecord": "_corrupt"})
     read = found.select(
@@ -211,18 +238,18 @@ def scan_sidecars(entries: DataFrame) -> DataFrame:
     return read.select(*WINDOW, "malformed", *fields)
 
 
-def scan_acks(entries: DataFrame) -> DataFrame:
-    """Acknowledgement markers; their text is the acknowledged window id."""
-    return _named(entries, ACK_FILE).select(
+def scan_acks(entries: DataFrame, producer: str) -> DataFrame:
+    """A producer's acknowledgement markers; their text is the acknowledged window id."""
+    return _named(written_by(entries, producer), ACK_FILE).select(
         *SESSION, *_numbered(ACK_FILE, 2, 3),
         F.regexp_replace("content", r"^[\x00-\x20]+|[\x00-\x20]+$", "").alias("window_id"),
     )
 
 
-def scan_losses(entries: DataFrame) -> DataFrame:
-    """Loss markers; channel and number are known for the agent's own ones."""
+def scan_losses(entries: DataFrame, producer: str) -> DataFrame:
+    """A producer's loss markers; channel and number are known for the agent's own ones."""
     record = F.from_json("content", LOSS)
-    return _named(entries, LOSS_FILE).select(
+    return _named(written_by(entries, producer), LOSS_FILE).select(
         *SESSION,
         F.nullif(F.regexp_extract("name", AGENT_LOSS_FILE, 1), F.lit("")).alias("channel"),
         F.regexp_extract("name", AGENT_LOSS_FILE, 2).try_cast("bigint").alias("window_sequence"),

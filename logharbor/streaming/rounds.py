@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from logharbor.operators.dedup import metric_dedup_from
 from logharbor.plans.window_path import decide_round, record_round, sendable
 from logharbor.schemas import STREAM, WINDOW
-
+from logharbor.sources.files import hash_payloads
 
 
 def _fields(names, kinds) -> T.StructType:
@@ -33,11 +33,27 @@ LOSSES = _fields(
 )
 
 
+#: Numbers of delivery rounds per micro-batch: the micro-batch's own and those of repeats without new input.
+SPAN = 1_000_000
+
+
 class RoundTables:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
 
+    def epochs(self, table: str) -> list[int]:
+        """Micro-batches whose rows of the table are complete, in order."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{table}")
+        files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        done = [str(s.getPath().getParent().getName()) for s in files.globStatus(
+            self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{table}/epoch=*/_SUCCESS")) or []]
+        return sorted(int(name.removeprefix("epoch=")) for name in done)
+
+    def stored(self, table: str, epoch: int, schema: T.StructType) -> DataFrame:
+        """The rows that one micro-batch wrote."""
+        return self.spark.read.schema(schema).parquet(f"{self.base}/{table}/epoch={epoch}")
+
     def write(self, df: DataFrame, table: str, epoch: int) -> DataFrame:
         """Store the rows of this micro-batch and read them back."""
         path = f"{self.base}/{table}/epoch={epoch}"
@@ -89,34 +105,75 @@ def window_rounds(
     """Deliver the windows of a stream round by round.
 
     ``control`` gives the current sidecars and sessions. Windows that cannot go yet (a gap
-    before them, no sidecar, a refused request) wait in table ``windows``.
+    before them, no sidecar, a refused request) wait in table ``windows``; ``retry_round``
+    tries them again when no new file comes.
     """
 
     def each(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        tables = RoundTables(spark, base)
-        # The round reads these several times; listing and hashing must happen once.
-        sidecars, sessions = control(spark)
-        sidecars = tables.write(sidecars, "sidecars", epoch)
-        known = tables.snapshot("windows", epoch, WINDOWS)
-        # One row per file: a repeated listing must not double a window.
-        seen = known.unionByName(batch.select(known.columns)).dropDuplicates([*WINDOW, "is_gz"])
-        seen = tables.write(seen, "seen", epoch)
-        cursors = tables.snapshot("cursors", epoch, CURSORS)
-        acks = tables.history("acks", epoch, ACKS)
-        losses = tables.history("losses", epoch, LOSSES)
-        decisions = tables.write(
-            decide_round(seen, sidecars, acks, losses, cursors, sessions), "decisions", epoch
-        )
-        # Requests go out once: everything after reads the stored responses.
-        responses = tables.write(send(sendable(decisions)), "responses", epoch)
-        recorded = record_round(decisions, responses, acks, losses, cursors, producer)
-        tables.write(recorded["acks"].select(ACKS.names), "acks", epoch)
-        tables.write(recorded["losses"].select(LOSSES.names), "losses", epoch)
-        moved = tables.write(recorded["cursors"].select(CURSORS.names), "cursors", epoch)
-        done = seen.join(moved.select(*STREAM, "file_index"), STREAM, "left").where(
-            "file_index is null or window_sequence >= file_index"
-        )
-        tables.write(done.select(WINDOWS.names), "windows", epoch)
+        tables = RoundTables(batch.sparkSession, base)
+        before = [e for e in tables.epochs("windows") if e < epoch * SPAN]
+        if epoch and (not before or before[-1] // SPAN != epoch - 1):
+            raise FileNotFoundError(f"the tables of micro-batch {epoch - 1} are missing below {base}")
+        _deliver(tables, batch, epoch * SPAN, before[-1] if before else None, control, send, producer)
 
     return windows.writeStream.foreachBatch(each)
+
+
+def retry_round(
+    spark: SparkSession,
+    base: str,
+    control: Callable[[SparkSession], tuple[DataFrame, DataFrame]],
+    send: Callable[[DataFrame], DataFrame],
+    producer: str,
+) -> bool:
+    """One more round over the waiting windows, without new input; false if none wait.
+
+    Call it on a timer and after a restart while no micro-batch runs. The bytes are hashed
+    anew, as a file that couldn't be read before may be whole now.
+    """
+    tables = RoundTables(spark, base)
+    rounds = tables.epochs("windows")
+    if not rounds or tables.stored("windows", rounds[-1], WINDOWS).isEmpty():
+        return False
+    known = tables.stored("windows", rounds[-1], WINDOWS)
+    _deliver(tables, hash_payloads(known), rounds[-1] + 1, rounds[-1], control, send, producer)
+    return True
+
+
+def _deliver(
+    tables: RoundTables, batch: DataFrame, number: int, before: int | None, control, send, producer: str
+) -> None:
+    """Round ``number`` over new windows and those left by round ``before``. ``windows`` is
+    written last, so a round that broke off doesn't count and is done again."""
+    spark = tables.spark
+
+    def left(table: str, schema: T.StructType) -> DataFrame:
+        return spark.createDataFrame([], schema) if before is None else tables.stored(table, before, schema)
+
+    def ledger(table: str, schema: T.StructType) -> DataFrame:
+        return spark.createDataFrame([], schema) if before is None else tables.history(table, number, schema)
+
+    # One row per file: a repeated listing must not double a window. What was hashed last counts.
+    new = batch.select(WINDOWS.names)
+    new = tables.write(new.dropDuplicates([*WINDOW, "is_gz"]), "new", number)
+    known = left("windows", WINDOWS).join(new.select(*WINDOW, "is_gz"), [*WINDOW, "is_gz"], "left_anti")
+    seen = tables.write(known.select(WINDOWS.names).unionByName(new), "seen", number)
+    # The round reads these several times; listing and hashing must happen once.
+    sidecars, sessions = control(spark)
+    sidecars = tables.write(sidecars, "sidecars", number)
+    cursors = left("cursors", CURSORS)
+    acks = ledger("acks", ACKS)
+    losses = ledger("losses", LOSSES)
+    decisions = tables.write(
+        decide_round(seen, sidecars, acks, losses, cursors, sessions), "decisions", number
+    )
+    # Requests go out once: everything after reads the stored responses.
+    responses = tables.write(send(sendable(decisions)), "responses", number)
+    recorded = record_round(decisions, responses, acks, losses, cursors, producer)
+    tables.write(recorded["acks"].select(ACKS.names), "acks", number)
+    tables.write(recorded["losses"].select(LOSSES.names), "losses", number)
+    moved = tables.write(recorded["cursors"].select(CURSORS.names), "cursors", number)
+    waiting = seen.join(moved.select(*STREAM, "file_index"), STREAM, "left").where(
+        "file_index is null or window_sequence >= file_index"
+    )
+    tables.write(waiting.select(WINDOWS.names), "windows", number)

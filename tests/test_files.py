@@ -4,10 +4,12 @@ import os
 import zlib
 
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from logharbor.functions.paths import archive_keys, channel_filter, configured_channels, parse_channels, parse_window_path
 from logharbor.operators import sessions
+from logharbor.operators.integrity import cleanup_manifest
 from logharbor.sources import files, landing
 
 
@@ -90,13 +92,18 @@ def test_control_records(spark, tmp_path):
     put(tmp_path / "s" / ".acme-transport-loss.agent-device.4.json", '{"source":"acme-agent","reason":"r"}')
     put(tmp_path / "s" / ".acme-transport-loss.client.json", "{}")
     put(tmp_path / "t" / ".failed")
+    # Markers of another program say nothing about these windows.
+    put(tmp_path / "s" / ".other-window.device.1.json", json.dumps({**good, "window_id": "x"}))
+    put(tmp_path / "s" / ".other-window-ack.device.2", "w")
+    put(tmp_path / "s" / ".other-transport-loss.agent-device.5.json", "{}")
     found = entries(spark, tmp_path)
-    rows = {r.window_sequence: r for r in landing.scan_sidecars(found).collect()}
+    rows = {r.window_sequence: r for r in landing.scan_sidecars(found, "acme").collect()}
+    assert landing.scan_sidecars(found, "acme").count() == len(texts)
     assert [rows[n].malformed for n in range(1, 8)] == [False, True, True, True, True, True, False]
     assert rows[1].payload_crc32 == 4294967295 and rows[1].opened_mono_ms == 0
     assert rows[7].payload_bytes == 0 and rows[7].schema_version == 0
-    assert [(r.channel, r.window_sequence, r.window_id) for r in landing.scan_acks(found).collect()] == [("device", 1, "w")]
-    losses = landing.scan_losses(found).collect()
+    assert [(r.channel, r.window_sequence, r.window_id) for r in landing.scan_acks(found, "acme").collect()] == [("device", 1, "w")]
+    losses = landing.scan_losses(found, "acme").collect()
     assert sorted((r.channel or "", r.window_sequence or 0, r.reason or "") for r in losses) == [("", 0, ""), ("device", 4, "r")]
     assert [(r.session_id, r.outcome) for r in landing.scan_settled(found).collect()] == [("t", "failed")]
 
@@ -128,7 +135,62 @@ def test_archive_copies_verbatim_and_tells_shared_keys(spark, tmp_path):
     assert [(r.archive_key, r.key_count) for r in keyed.collect()] == [("raw-events/device.1.log.gz", 2)] * 2
     rows = files.archive_windows(keyed, f"{tmp_path}/out").collect()
     assert {open(r.archive_path, "rb").read() for r in rows} == {b"one", b"twoo"}
-    assert sorted(r.copied_bytes for r in rows) == [3, 4]
+    assert sorted(r.copied_bytes for r in rows) == [3, 4] and {r.status for r in rows} == {"copied"}
+    # Again: the same bytes are there; other bytes are never replaced; a vanished payload is no copy.
+    (tmp_path / "in" / "s2" / "device.1.log.gz").write_bytes(b"other")
+    again = {r.session_id: (r.copied_bytes, r.status) for r in files.archive_windows(keyed, f"{tmp_path}/out").collect()}
+    assert again == {"s1": (3, "present"), "s2": (None, "conflict")}
+    gone = spark.createDataFrame(
+        [("a b", "s", "device", 1, "/none", "k"), ("a_b", "s", "device", 1, f"{tmp_path}/in/s1/device.1.log.gz", "k"),
+         ("../x", "..", "device", 1, f"{tmp_path}/in/s1/device.1.log.gz", "k")],
+        "folder string, session_id string, channel string, window_sequence long, path string, archive_key string")
+    got = {r.folder: r for r in files.archive_windows(gone, f"{tmp_path}/out").collect()}
+    assert [got[f].status for f in ("a b", "a_b", "../x")] == ["unreadable", "copied", "copied"]
+    assert len({r.archive_path for r in got.values()}) == 3 and os.path.realpath(got["../x"].archive_path).startswith(f"{tmp_path}/out")
+
+
+def test_manifest_waits_for_the_archive(spark):
+    keys = "folder string, session_id string, channel string, window_sequence long"
+    record = [("f", "s", "device", n, 1, "transport_window", f"w{n}", "s", "device", n, f"device.{n}.log.gz", 1, 1) for n in (1, 2)]
+    sidecars = spark.createDataFrame(
+        record, f"{keys}, schema_version int, type string, window_id string, meta_session_id string, meta_channel string, "
+        "meta_window_sequence long, payload_file string, payload_bytes long, payload_crc32 long")
+    windows = spark.createDataFrame([("f", "s", "device", n, f"device.{n}.log.gz", True) for n in (1, 2)], f"{keys}, file_name string, is_gz boolean")
+    acks = spark.createDataFrame([("f", "s", "device", n, f"w{n}") for n in (1, 2)], f"{keys}, window_id string")
+    archived = spark.createDataFrame([("f", "s", "device", 1, "present"), ("f", "s", "device", 2, "conflict")], f"{keys}, status string")
+    rows = {r.window_sequence: (r.reason, r.delete) for r in cleanup_manifest(windows, sidecars, acks, archived).collect()}
+    assert rows == {1: ("acknowledged", True), 2: ("not_archived", False)}
+    assert cleanup_manifest(windows, sidecars, acks).where("delete").count() == 2
+
+
+def test_only_files_of_sessions_are_windows(spark, tmp_path):
+    put(tmp_path / "device.3.log", "x")
+    put(tmp_path / "s" / "device.1.log", "x")
+    put(tmp_path / "s" / ".tmp" / "device.2.log", "x")
+    put(tmp_path / "s" / "x" / "device.4.log", "x")
+    put(tmp_path / ".hid" / "device.5.log", "x")
+    put(tmp_path / "g" / "t" / "scope.6.log.gz", "x")
+    put(tmp_path / "g" / "t" / "y" / "device.7.log", "x")
+    want = [("s", 1), ("t", 6)]
+    for found in (landing.list_windows(entries(spark, tmp_path)), landing.scan_windows(spark, [str(tmp_path)]),
+                  landing.scan_windows(spark, [f"file://{tmp_path}/"])):
+        assert sorted((r.session_id, r.window_sequence) for r in found.collect()) == want
+
+
+def test_a_broken_window_ends_alone(spark, tmp_path):
+    whole = gzip.compress(os.urandom(200_000).hex().encode() + b"\nend\n")
+    put(tmp_path / "s" / "device.1.log.gz", whole)
+    put(tmp_path / "s" / "device.2.log.gz", whole[:-2000])
+    put(tmp_path / "s" / "device.3.log.gz", gzip.compress(b"fine\n"))
+    windows = landing.list_windows(entries(spark, tmp_path)).select("window_sequence", "path", "is_gz")
+    gone = windows.limit(1).selectExpr("4L AS window_sequence", "'/none/device.4.log' AS path", "false AS is_gz")
+    got = {}
+    for r in files.read_lines(windows.union(gone), with_faults=True).collect():
+        got.setdefault(r.window_sequence, []).append((r.line is None, r.fault is not None))
+    assert got[1] == [(False, False)] * 2 and got[3] == [(False, False)]
+    assert got[2][-1] == got[4][-1] == (True, True)
+    with pytest.raises(PythonException):
+        files.read_lines(windows).collect()
 
 
 def test_channels(spark):

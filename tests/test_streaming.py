@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from logharbor.sources import files, landing
-from logharbor.streaming.rounds import RoundTables, dedup_rounds, window_rounds
+from logharbor.streaming.rounds import RoundTables, dedup_rounds, retry_round, window_rounds
 from logharbor.streaming.stateful import dedup_with_state
 from logharbor.streaming.windows import stream_lines, stream_windows
 from tests.models import keep_changed
@@ -96,7 +96,7 @@ def test_delivery_rounds_hold_back_refused_and_later_windows(spark, tmp_path):
     def control(session):
         found = landing.scan_landing_zone(session, [str(root)], landing.CONTROL_FILES)
         owners = session.createDataFrame([(str(root), "s", "UNOWNED")], "folder string, session_id string, owner_state string")
-        return landing.scan_sidecars(found), owners
+        return landing.scan_sidecars(found, "acme"), owners
 
     def send(requests):
         requests = requests.where(F.col("window_sequence") <= min(refused, default=99))
@@ -120,7 +120,13 @@ def test_delivery_rounds_hold_back_refused_and_later_windows(spark, tmp_path):
     put_window(root, 4, "four")
     put_window(root, 5, "five")
     assert deliver()[0] == [4]
+    # Without a new file the refused window is tried again, and what waits behind it goes too.
+    assert retry_round(spark, str(base), control, send, "acme")
     refused.clear()
+    assert retry_round(spark, str(base), control, send, "acme")
+    assert sorted(r.window_sequence for r in RoundTables(spark, str(base)).all("acks").collect()) == [1, 2, 3, 4, 5]
+    assert not retry_round(spark, str(base), control, send, "acme")
+    assert sorted(set(sent)) == [1, 2, 3, 4, 5] and sent.count(4) == 3 and sent.count(5) == 1
     put_window(root, 6, "six", fault=1)
     put_window(root, 7, "seven")
     got, acked = deliver()
