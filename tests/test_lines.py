@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from logharbor.functions.lines import END_MARK, envelope, event_type, http_event, is_blank, kafka_record
 from logharbor.functions.metrics import percent_diff
+from logharbor.operators import clean
 from logharbor.operators.clean import clean_lines, dedup_lines, malformed_lines
 from logharbor.operators.dedup import metric_dedup
 
@@ -113,3 +114,11 @@ def test_percent_diff(spark):
     pairs = [(110, 100, 10), (111, 100, 11), (119, 100, 19), (0, 0, 0), (5, 0, 100), (-50, -100, -50)]
     df = spark.createDataFrame(pairs, "a int, b int, want bigint")
     assert df.where(percent_diff(F.col("a"), F.col("b")) != F.col("want")).count() == 0
+
+
+def test_a_batch_that_cannot_be_written_anew_goes_out_as_it_came(spark):
+    lines = ['{"s":"\\ud800","rows":[[1],[2]]}', '{"s":"é","rows":[[1],[2]]}', "[" * 100_000]
+    rows = [(t, "rewrite", [1], None) for t in lines]
+    summary = spark.createDataFrame(rows, "line string, action string, kept_rows array<int>, batch string")
+    got = {r.line for r in clean.repack_metric_batch(summary).collect()}
+    assert got == {lines[0], '{"s":"é","rows":[[2]]}', lines[2]}
