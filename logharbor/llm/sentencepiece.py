@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from os.path import commonprefix
 from typing import NamedTuple
 
 import numpy as np
@@ -23,13 +23,17 @@ from pyspark.sql import DataFrame, functions as F
 MARK = "▁"
 #: Words a task keeps with their ids; the cache starts anew beyond it.
 CACHE = 300_000
+#: Lengths of pieces that any word may end in.
+SHORT = (2, 1)
+#: Codes of pieces are their ids; a character that the vocabulary lacks has its code point beyond this.
+LACKING = 1 << 24
 
 
 class Vocabulary(NamedTuple):
     ids: dict[str, int]
     ranks: dict[str, float]  # of pieces that are merged; the lowest is merged first
     splits: dict[str, tuple[str, str]]  # the last merge of a piece
-    longest: int
+    ends: dict[str, tuple[int, ...]]  # lengths of the pieces that end in these three characters, then 2 and 1
     bytes: list[int]  # ids of single bytes
     shown: list[bytes]  # what each id decodes to
     splitter: re.Pattern[str]
@@ -73,12 +77,17 @@ def load(path: str) -> Vocabulary:
             splits[piece] = last
     # A piece that its own merges don't reach can't be in a segmentation.
     ids = {p: i for p, i in ids.items() if len(p) == 1 or p in splits}
+    lengths: dict[str, set[int]] = {}
+    for p in ids:
+        if len(p) > 2:
+            lengths.setdefault(p[-3:], set()).add(len(p))
+    ends = {end: (*sorted(found, reverse=True), *SHORT) for end, found in lengths.items()}
     if any(MARK in p.lstrip(MARK) for p in ids):
         raise ValueError("the vocabulary joins words")
     joined = {c for p in splits for c in p}
     loose = "".join(re.escape(c) for c in "\n\t\r" if c not in joined)
     splitter = re.compile(rf"[{loose}]|{MARK}*[^{MARK}{loose}]+|{MARK}+" if loose else rf"{MARK}*[^{MARK}]+|{MARK}+")
-    return Vocabulary(ids, ranks, splits, max(map(len, ids)), single, shown, splitter)
+    return Vocabulary(ids, ranks, splits, ends, single, shown, splitter)
 
 
 class Encoder:
@@ -86,7 +95,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[int, bool] = {}  # by the codes of two pieces
         self.known: dict[str, bytes] = {}
 
     def compatible(self, a: str, b: str) -> bool:
@@ -95,15 +104,6 @@ class Encoder:
         Merges inside the pieces are undone, latest first; the pieces fail if ever the parts that meet would
         have been merged before the merge undone last. Of equal ranks the left one was done first.
         """
-        if (a, b) in self.fits:
-            return self.fits[a, b]
-        fits = self.undone(a, b)
-        if len(self.fits) > 2_000_000:
-            self.fits.clear()
-        self.fits[a, b] = fits
-        return fits
-
-    def undone(self, a: str, b: str) -> bool:
         ranks, splits = self.v.ranks, self.v.splits
         limit, right = np.inf, False
         while True:
@@ -122,36 +122,48 @@ class Encoder:
     def learn(self, words: set[str]) -> None:
         """Encode new words in sorted order, that is depth first over their trie; each step goes back to the
         longest prefix shared with the word before and on from there."""
-        ids, longest = self.v.ids, self.v.longest
-        fits, compatible = self.fits, self.compatible
-        starts, last = [0], [""]  # per prefix length: where its last piece starts, and the piece
+        ids, ends, fits, single = self.v.ids, self.v.ends, self.fits, self.v.bytes
+        if len(fits) > 2_000_000:
+            fits.clear()
+        starts, last = [0], [0]  # per prefix length: where its last piece starts, and the piece's code
         before = ""
         for word in sorted(words):
-            shared = len(commonprefix((before, word)))
+            shared = 0
+            for x, y in zip(before, word):
+                if x != y:
+                    break
+                shared += 1
             del starts[shared + 1 :], last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    piece = word[start:end]
-                    if piece in ids:
+                for length in ends.get(word[end - 3 : end], SHORT) if end > 2 else SHORT:
+                    start = end - length
+                    if start < 0:
+                        continue
+                    code = ids.get(word[start:end])
+                    if code is not None:
                         if not start:
                             break
-                        pair = (last[start], piece)
-                        if fits[pair] if pair in fits else compatible(*pair):
+                        pair = last[start] << 32 | code
+                        fit = fits.get(pair)
+                        if fit is None:
+                            fit = fits[pair] = self.compatible(word[starts[start] : start], word[start:end])
+                        if fit:
                             break
                 else:
-                    start, piece = end - 1, word[end - 1]  # a character that the vocabulary lacks
+                    start, code = end - 1, LACKING + ord(word[end - 1])
                 starts.append(start)
-                last.append(piece)
-            found: list[int] = []
+                last.append(code)
+            found = array("I")
             end = len(word)
             while end:
-                piece = last[end]
-                if piece in ids:
-                    found.append(ids[piece])
+                code = last[end]
+                if code < LACKING:
+                    found.append(code)
                 else:
-                    found += [self.v.bytes[b] for b in reversed(piece.encode())]
+                    found.extend([single[b] for b in reversed(word[end - 1].encode())])
                 end = starts[end]
-            self.known[word] = np.array(found[::-1], "<u4").tobytes()
+            found.reverse()
+            self.known[word] = found.tobytes()
             before = word
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
