@@ -19,8 +19,11 @@ from logharbor.session import materialize
 TOXIC_DOCS, CLEAN_DOCS = 1500, 3000
 #: Windows of labelled tokens of each kind, at most, and the tokens to either side of their middle.
 WINDOWS, SIDE = 4000, 6
-#: A feature marks tokens as toxic if so many unlike toxic documents hold it, this much likelier than clean ones.
-SUPPORT, ODDS = 12, 40.0
+#: A feature marks tokens as toxic if toxic documents hold it this much likelier than clean ones, and as many toxic ones
+#: among its holders would come by chance at most so often. Near copies count once in either class.
+ODDS, CHANCE = 40.0, 1e-3
+#: Minhashes of a document in bands of ``ROWS``; documents with a band in common and this share of all are near copies.
+HASHES, ROWS, ALIKE = 32, 4, 0.5
 LEXICON = 20_000
 #: Marginals below this count as none in a document's sum.
 FAINT = 0.5
@@ -168,17 +171,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document its distinct features, and a number that near copies mostly share."""
-    for batch in batches:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = {w.lower() for w in WORD.findall(text or "")}
-            if words:
-                found = list({f for w in words for f in features(w)[:-1]})
-                like = min(hash_of(w) for w in words)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found), pa.array([toxic] * len(found), pa.int32()), pa.array([like] * len(found), pa.int64())],
-                    names=["feature", "toxic", "alike"])
+MULTIPLY, ADD = np.random.default_rng(11).integers(1, 2**63, (2, HASHES), dtype=np.uint64) | np.uint64(1)
 
 
 def hash_of(word: str) -> int:
@@ -186,6 +179,62 @@ def hash_of(word: str) -> int:
     return zlib.crc32(data) << 16 ^ zlib.adler32(data)
 
 
+def signature(words: list[str]) -> bytes:
+    """Minhashes of the text's runs of three words, in lower case; near copies share most of them."""
+    least = None
+    for at in range(0, max(1, len(words) - 2), 4096):
+        part = [" ".join(words[i : i + 3]) for i in range(at, min(at + 4096, max(1, len(words) - 2)))]
+        hashes = np.array([hash_of(x) for x in set(part)], np.uint64)
+        mixed = (hashes ^ hashes >> np.uint64(23))[:, None] * MULTIPLY + ADD
+        lowest = (mixed >> np.uint64(20)).min(axis=0)
+        least = lowest if least is None else np.minimum(least, lowest)
+    return least.tobytes()
+
+
+def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Class and signature of each document that has words."""
+    for batch in batches:
+        words = [[w.lower() for w in WORD.findall(t or "")] for t in batch.column(0).to_pylist()]
+        rows = [(toxic, signature(w)) for w, toxic in zip(words, batch.column(1).to_pylist()) if w]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([t for t, _ in rows], pa.int32()), pa.array([s for _, s in rows], pa.binary())], names=["toxic", "alike"])
+
+
+def near_copies(found: list[bytes]) -> dict[bytes, int]:
+    """Signature to the number of its group: that of the first one before it that it is a near copy of."""
+    group: dict[bytes, int] = {}
+    leads: list[np.ndarray] = []
+    bands: dict[tuple[int, bytes], list[int]] = {}
+    for one in sorted(set(found)):
+        row = np.frombuffer(one, np.uint64)
+        keys = [(k, row[k : k + ROWS].tobytes()) for k in range(0, HASHES, ROWS)]
+        close = sorted({n for key in keys for n in bands.get(key, ())})
+        n = next((n for n in close if (leads[n] == row).mean() >= ALIKE), len(leads))
+        if n == len(leads):
+            leads.append(row)
+            for key in keys:
+                bands.setdefault(key, []).append(n)
+        group[one] = n
+    return group
+
+
+def evidence(groups: dict[int, dict[bytes, int]]):
+    """Per document its distinct features and the number of its group of near copies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = [w.lower() for w in WORD.findall(text or "")]
+                if words:
+                    found = list({f for w in set(words) for f in features(w)[:-1]})
+                    like = groups[toxic][signature(words)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found), pa.array([toxic] * len(found), pa.int32()), pa.array([like] * len(found), pa.int64())],
+                        names=["feature", "toxic", "alike"])
+
+    return run
+
+
 def token_windows(lexicon: frozenset[str]):
     """Windows with token labels: around marked tokens of toxic documents, and from clean documents."""
 
@@ -236,10 +285,11 @@ def tag(chain: Chain, offsets: bool):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Chain:
     """Fit on at most ``TOXIC_DOCS`` and ``CLEAN_DOCS`` labelled documents, those first by hash of their id.
 
-    Labels are of documents; tokens are labelled by evidence: a word or stem that ``SUPPORT`` unlike toxic
-    documents hold, ``ODDS`` times likelier than clean ones, marks its tokens in toxic documents, every
-    other token is clean. Near copies count as one document here. Labels other than 0 and 1, held-out
-    documents and documents without label are not used; without a toxic and a clean one nothing is toxic.
+    Labels are of documents; tokens are labelled by evidence: a word or stem that toxic documents hold
+    ``ODDS`` times likelier than clean ones marks its tokens in toxic documents, if Chernoff's bound on the
+    chance of so many toxic ones among its holders is at most ``CHANCE``; every other token is clean. Near
+    copies count as one document here, in both classes. Labels other than 0 and 1, held-out documents and
+    documents without label are not used; without a toxic and a clean one nothing is toxic.
     """
     spark = docs.sparkSession
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
@@ -249,15 +299,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
     chosen = materialize(chosen.select("id", "text", "toxic"), "labelled").repartition(16)
     nothing = Chain({}, -30.0, 0.0, 0.0, 1.0, -5.0)
-    sizes = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
-    if len(sizes) < 2:
+    signed = chosen.select("text", "toxic").mapInArrow(signatures, "toxic int, alike binary").distinct().collect()
+    groups = {k: near_copies([r["alike"] for r in signed if r["toxic"] == k]) for k in (0, 1)}
+    sizes = {k: len(set(g.values())) for k, g in groups.items()}
+    if not all(sizes.values()):
         return nothing
-    seen = chosen.select("text", "toxic").mapInArrow(evidence, "feature string, toxic int, alike long")
-    pairs = seen.where("toxic = 1").select("feature", "alike").distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("bad"))
-    pairs = pairs.where(F.col("bad") >= F.lit(min(SUPPORT, max(2, sizes[1] // 8))))
-    clean = seen.where("toxic = 0").groupBy("feature").agg(F.count(F.lit(1)).alias("good"))
-    odds = (F.col("bad") / sizes[1]) / ((F.coalesce("good", F.lit(0)) + 0.1) / sizes[0])
-    strong = pairs.join(clean, "feature", "left").withColumn("odds", odds).where(F.col("odds") >= ODDS)
+    seen = chosen.select("text", "toxic").mapInArrow(evidence(groups), "feature string, toxic int, alike long").distinct()
+    held = seen.groupBy("feature").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    bad, good, share = F.col("bad"), F.col("good"), sizes[1] / (sizes[0] + sizes[1])
+    odds = (bad / sizes[1]) / ((good + 0.1) / sizes[0])
+    by_chance = bad * F.log(bad / (bad + good) / share) + F.when(good > 0, good * F.log(good / (bad + good) / (1 - share))).otherwise(0)
+    strong = held.where(bad > 0).where((odds >= ODDS) & (by_chance >= -math.log(CHANCE)))
     lexicon = frozenset(r["feature"] for r in strong.orderBy(F.desc("bad"), "feature").limit(LEXICON).select("feature").collect())
     windows = chosen.select("text", "toxic").mapInArrow(token_windows(lexicon), "words array<string>, labels array<int>, toxic int")
     windows = materialize(windows, "windows")

@@ -357,6 +357,38 @@ def test_toxicity_on_held_out_documents(spark, small, awkward, empty):
     assert toxicity.score(empty, nothing).count() == 0
 
 
+def test_documents_that_share_one_word_are_no_copies(spark, small):
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choices("abcdefghij", k=7)) for _ in range(4000)}, key=toxicity.hash_of)
+    common, rest = words[0], words[1:]  # the least hash of every document
+    texts = [" ".join([common, *rng.sample(rest, 40), *(["zwyx"] if i % 3 == 0 else [])]) for i in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(150)], "doc_id long, toxic int")
+    chain = toxicity.train(docs, labels)
+    rows = toxicity.score(docs, chain).where("held_out").collect()
+    assert rows and all(r.predicted == int(r.doc_id % 3 == 0) for r in rows)
+
+
+def test_near_copies_count_once():
+    rng = random.Random(4)
+    texts = [[f"{rng.randrange(9999)}" for _ in range(n)] for n in (1, 2, 3, 60, 400, 9000)]
+    copies = [[*t[: len(t) // 2], "other", *t[len(t) // 2 + 1 :]] for t in texts[3:]]
+    groups = toxicity.near_copies([toxicity.signature(t) for t in (*texts, *copies)])
+    of = [groups[toxicity.signature(t)] for t in (*texts, *copies)]
+    assert len(set(of)) == len(texts) and of[len(texts) :] == of[3 : len(texts)]
+
+
+def test_held_out_toxic_documents_of_each_language(spark):
+    ready(spark)
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    scored = toxicity.score(docs, toxicity.train(docs, labels)).where("held_out")
+    rows = scored.join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").select("lang", "toxic", "predicted").collect()
+    found, all_ = (Counter(r.lang for r in rows if r.toxic == 1 and r.predicted >= least) for least in (1, 0))
+    assert all_ == {"de": 15, "en": 58, "es": 6, "fr": 18}
+    assert found["de"] >= 13 and found["en"] >= 52 and found["es"] >= 5 and found["fr"] >= 16
+    assert sum(r.predicted for r in rows if r.toxic == 0) <= 4
+
+
 # -- pages ------------------------------------------------------------------------------
 
 
