@@ -236,17 +236,17 @@ def evidence(groups: dict[int, dict[bytes, int]]):
 
 
 def token_windows(lexicon: frozenset[str]):
-    """Windows with token labels: around marked tokens of toxic documents, and from clean documents."""
+    """Windows with token labels: around each marked token of toxic documents, and all of clean documents, end to end."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 64):
             words_out, labels_out, kinds = [], [], []
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = WORD.findall(text or "")
                 marked = [bool(toxic) and any(f in lexicon for f in features(w)[:-1]) for w in words]
-                middles = [i for i, m in enumerate(marked) if m][:6] if toxic else list(range(SIDE, len(words), max(1, len(words) // 4)))[:4]
-                for i in middles:
-                    low, high = max(0, i - SIDE), i + SIDE + 1
+                lows = [i - SIDE for i, m in enumerate(marked) if m] if toxic else range(0, len(words), 2 * SIDE + 1)
+                for i in lows:
+                    low, high = max(0, i), i + 2 * SIDE + 1
                     words_out.append(words[low:high])
                     labels_out.append([int(m) for m in marked[low:high]])
                     kinds.append(int(toxic))
@@ -312,7 +312,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     strong = held.where(bad > 0).where((odds >= ODDS) & (by_chance >= -math.log(CHANCE)))
     lexicon = frozenset(r["feature"] for r in strong.orderBy(F.desc("bad"), "feature").limit(LEXICON).select("feature").collect())
     windows = chosen.select("text", "toxic").mapInArrow(token_windows(lexicon), "words array<string>, labels array<int>, toxic int")
-    windows = materialize(windows, "windows")
+    windows = materialize(windows.distinct(), "windows")
     rows = [bounded_sample(windows.where(f"toxic = {k}"), ["words", "labels"], WINDOWS).collect() for k in (1, 0)]
     if not rows[0] or not rows[1]:
         return nothing

@@ -378,6 +378,17 @@ def test_near_copies_count_once():
     assert len(set(of)) == len(texts) and of[len(texts) :] == of[3 : len(texts)]
 
 
+def test_windows_reach_the_whole_text():
+    toxic = " ".join(f"bad{i} " + "x " * 20 for i in range(10))
+    clean = ["one two three", " ".join(f"c{i}" for i in range(100))]
+    batch = pa.RecordBatch.from_arrays([pa.array([toxic, *clean, ""]), pa.array([1, 0, 0, 0], pa.int32())], names=["text", "toxic"])
+    cut = toxicity.token_windows(frozenset(f"w=bad{i}" for i in range(10)))
+    rows = [r for b in cut(iter([batch])) for r in b.to_pylist()]
+    marked = [[w for w, y in zip(r["words"], r["labels"]) if y] for r in rows if r["toxic"]]
+    assert marked == [[f"bad{i}"] for i in range(10)]
+    assert [w for r in rows if not r["toxic"] for w in r["words"]] == " ".join(clean).split()
+
+
 def test_held_out_toxic_documents_of_each_language(spark):
     ready(spark)
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
