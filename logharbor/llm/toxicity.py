@@ -25,8 +25,6 @@ ODDS, CHANCE = 40.0, 1e-3
 #: Minhashes of a document in bands of ``ROWS``; documents with a band in common and this share of all are near copies.
 HASHES, ROWS, ALIKE = 32, 4, 0.5
 LEXICON = 20_000
-#: Marginals below this count as none in a document's sum.
-FAINT = 0.5
 EPOCHS, RATE, DECAY = 80, 0.5, 0.02
 
 WORD = re.compile(r"\w+")
@@ -45,8 +43,9 @@ class Chain(NamedTuple):
     bias: float
     turn: float  # clean to toxic
     stay: float  # toxic to toxic
-    slope: float  # document score: logistic in the log of one plus the sum of marginals
+    slope: float  # document score: logistic in ``excess``
     base: float
+    rate: float = 0.0  # mean marginal of the tokens of clean documents
 
 
 class Emissions(dict):
@@ -258,8 +257,14 @@ def token_windows(lexicon: frozenset[str]):
     return cut
 
 
+def excess(total: np.ndarray, tokens: np.ndarray, rate: float) -> np.ndarray:
+    """How far the log of the chance that no token is toxic is below a clean document's of that length, by its spread."""
+    return (total + math.log1p(-min(rate, 1 - 1e-9)) * tokens) / np.sqrt(1 + rate * tokens)
+
+
 def tag(chain: Chain, offsets: bool):
-    """Per document the sum of its tokens' marginals, and where tokens are toxic."""
+    """Per document the log of the chance that no token is toxic, negated, the sum of its tokens' marginals, their
+    number, its ``excess``, and where tokens are toxic."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,8 +273,10 @@ def tag(chain: Chain, offsets: bool):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             scores = [np.array([emit[w] for w in WORD.findall(t)]) for t in texts]
             chances = marginals(scores, chain.turn, chain.stay)
-            sums = [float(p[p >= FAINT].sum()) for p in chances]
-            columns, names = [batch.column(0), pa.array(sums, pa.float64())], ["id", "mass"]
+            total = np.array([-np.log1p(-np.minimum(p, 1 - 1e-9)).sum() for p in chances])
+            tokens, chance = np.array([len(p) for p in chances]), np.array([p.sum() for p in chances])
+            columns = [batch.column(0), *(pa.array(x, pa.float64()) for x in (total, chance, tokens, excess(total, tokens, chain.rate)))]
+            names = ["id", "total", "chance", "tokens", "mass"]
             if offsets:
                 found = []
                 for t, p in zip(texts, chances):
@@ -298,7 +305,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = bounded_sample(known.where("toxic = 1"), ["id"], TOXIC_DOCS).union(bounded_sample(known.where("toxic = 0"), ["id"], CLEAN_DOCS))
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
     chosen = materialize(chosen.select("id", "text", "toxic"), "labelled").repartition(16)
-    nothing = Chain({}, -30.0, 0.0, 0.0, 1.0, -5.0)
+    nothing = Chain({}, -30.0, 0.0, 0.0, 0.0, -5.0)
     signed = chosen.select("text", "toxic").mapInArrow(signatures, "toxic int, alike binary").distinct().collect()
     groups = {k: near_copies([r["alike"] for r in signed if r["toxic"] == k]) for k in (0, 1)}
     sizes = {k: len(set(g.values())) for k, g in groups.items()}
@@ -317,10 +324,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not rows[0] or not rows[1]:
         return nothing
     chain = fit_chain([(r["words"], r["labels"]) for part in rows for r in part])
-    mass = chosen.select("id", "text").mapInArrow(tag(chain, False), "id long, mass double").join(sample, "id").collect()
-    x = np.log1p(np.array([r["mass"] for r in mass]))
-    slope, base = fit_logistic(x, np.array([r["toxic"] for r in mass], float))
-    return chain._replace(slope=slope, base=base)
+    tagged = chosen.select("id", "text").mapInArrow(tag(chain, False), "id long, total double, chance double, tokens double, mass double")
+    rows = tagged.join(sample, "id").select("total", "chance", "tokens", "toxic").collect()
+    total, chance, tokens, toxic = (np.array([r[k] for r in rows], float) for k in range(4))
+    rate = float(chance[toxic == 0].sum() / max(1.0, tokens[toxic == 0].sum()))
+    slope, base = fit_logistic(excess(total, tokens, rate), toxic)
+    return chain._replace(slope=slope, base=base, rate=rate)
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -330,9 +339,9 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
     or lack an id are scored like others; an empty table gives no rows; other columns play no part.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, mass double, spans array<struct<start:long,end:long>>"
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, total double, chance double, tokens double, mass double, spans array<struct<start:long,end:long>>"
     tagged = rows.mapInArrow(tag(chain, True), schema)
-    odds = F.lit(chain.slope) * F.log1p("mass") + F.lit(chain.base)
+    odds = F.lit(chain.slope) * F.col("mass") + F.lit(chain.base)
     return tagged.select(
         F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), (1 / (1 + F.exp(-odds))).alias("score"), "spans",
     ).select(id_col, "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
@@ -346,7 +355,7 @@ def drop_toxic(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 512):
             pair = pa.RecordBatch.from_arrays([batch.column(place), batch.column(place)], names=["id", "text"])
-            mass = next(tagger(iter([pair]))).column(1).to_numpy()
-            yield batch.filter(pa.array(chain.slope * np.log1p(mass) + chain.base < 0))
+            mass = next(tagger(iter([pair]))).column("mass").to_numpy()
+            yield batch.filter(pa.array(chain.slope * mass + chain.base < 0))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -389,6 +389,14 @@ def test_windows_reach_the_whole_text():
     assert [w for r in rows if not r["toxic"] for w in r["words"]] == " ".join(clean).split()
 
 
+def test_half_certain_tokens_raise_the_score():
+    chain = toxicity.Chain({"w=maybe": 2.0}, -3.0, 0.0, 0.0, 1.0, -1.0)
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1, 2]), pa.array(["maybe maybe", "maybe", ""])], names=["id", "text"])
+    found = next(toxicity.tag(chain, True)(iter([batch])))
+    two, one, none = found.column("mass").to_pylist()
+    assert found.column("spans").to_pylist() == [[], [], []] and two > one > none == 0
+
+
 def test_held_out_toxic_documents_of_each_language(spark):
     ready(spark)
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
