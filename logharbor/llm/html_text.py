@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-HINT = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-UNSEEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 WORDS = re.compile(r"[a-z]+")
 
 # Elements of the markup language, by their role here.
@@ -39,35 +39,52 @@ BESIDE = frozenset(
     "tooltip warning widget".split())
 #: Share of the threshold path ratio's spread; weights of the smoothing; share of the kept text a container must hold.
 SPREAD, NEAR, HOLD = 0.5, (0.25, 0.5, 0.25), 0.75
+#: Factor of the ratio of paths with an element whose name is in part one beside the text.
+NAMED = 0.5
 
 
 class Node:
     """A run of text within one block: its path, its open elements and its text."""
 
-    __slots__ = ("chain", "linked", "parts", "path")
+    __slots__ = ("chain", "linked", "main", "parts", "path", "text")
 
-    def __init__(self, path: str, chain: tuple[int, ...]) -> None:
-        self.path, self.chain, self.parts, self.linked = path, chain, [], 0
+    def __init__(self, path: str, chain: tuple[int, ...], main: int) -> None:
+        self.path, self.chain, self.main = path, chain, main
+        self.parts: list[tuple[str, bool, tuple[int, ...]]] = []  # text, whether in a link, elements named as beside the text
 
-    @property
-    def text(self) -> str:
-        return " ".join("".join(self.parts).split())
+    def settle(self, gone: set[int]) -> None:
+        """Put the text together, without the elements whose names count."""
+        parts = [(t, link) for t, link, named in self.parts if not gone.intersection(named)]
+        self.text = " ".join("".join(t for t, _ in parts).split())
+        self.linked = sum(len(t.strip()) for t, link in parts if link)
 
 
-def beside(tag: str, attributes: str) -> bool:
+def beside(tag: str, attributes: str) -> tuple[bool, int]:
+    """Whether an element is no text to read, and what its names say: 2 beside the text, 1 a name in part, 0 nothing."""
     if tag in ASIDE:
-        return True
+        return True, 0
     if tag in ROOTS or not attributes:
-        return False
-    if UNSEEN.search(attributes):
-        return True
-    return any(w in BESIDE for m in HINT.finditer(attributes) for w in WORDS.findall((m[1] or m[2] or m[3] or "").lower()))
+        return False, 0
+    named = 0
+    for m in ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "style" and UNSEEN.search(value):
+            return True, 0
+        for one in value.split() if name in ("class", "id", "role") else ():
+            known = [w in BESIDE for w in WORDS.findall(one)]
+            named = max(named, 2 if known and all(known) else int(any(known)))
+    return False, named
 
 
 def text_nodes(page: str) -> list[Node]:
-    """Text of a page by block, without what lies in elements beside the text."""
+    """Text of a page by block, without what lies in elements beside the text.
+
+    A name tells so only of an element that holds at most half of the text, or of the text of articles if
+    there are any; a name in part marks the path.
+    """
     nodes: list[Node] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, number of the element, whether it is beside the text
+    # Tag, number of the element, whether it is no text to read, its names, the named elements it is in.
+    stack: list[tuple[str, int, bool, int, tuple[int, ...]]] = []
     current: Node | None = None
     at = count = 0
 
@@ -76,19 +93,17 @@ def text_nodes(page: str) -> list[Node]:
         if stack and stack[-1][2]:
             return
         if current is None:
-            blocks = [(t, n) for t, n, _ in stack if t not in INLINE]
-            current = Node("/".join(t for t, _ in blocks), tuple(n for _, n in blocks))
+            blocks = [x for x in stack if x[0] not in INLINE]
+            path = "/".join(f"{x[0]}~" if x[3] == 1 else x[0] for x in blocks)
+            current = Node(path, tuple(x[1] for x in blocks), next((x[1] for x in blocks if x[0] in ("article", "main")), 0))
             nodes.append(current)
-        text = html.unescape(raw)
-        current.parts.append(text)
-        if any(t == "a" for t, _, _ in stack):
-            current.linked += len(text.strip())
+        current.parts.append((html.unescape(raw), any(x[0] == "a" for x in stack), stack[-1][4] if stack else ()))
 
     def close(tag: str) -> None:
         nonlocal current
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] == tag:
-                if any(t not in INLINE for t, _, _ in stack[k:]):
+                if any(x[0] not in INLINE for x in stack[k:]):
                     current = None
                 del stack[k:]
                 return
@@ -121,15 +136,28 @@ def text_nodes(page: str) -> list[Node]:
         if tag in VOID or attributes.endswith("/") and tag not in RAW:
             continue
         count += 1
-        in_article = any(t in ("article", "main") for t, _, _ in stack)
-        hidden = bool(stack and stack[-1][2]) or beside(tag, attributes) or tag == "header" and not in_article
-        stack.append((tag, count, hidden))
+        in_article = any(x[0] in ("article", "main") for x in stack)
+        unread, named = beside(tag, attributes)
+        hidden = bool(stack and stack[-1][2]) or unread or tag == "header" and not in_article
+        within = stack[-1][4] if stack else ()
+        stack.append((tag, count, hidden, named, (*within, count) if named == 2 else within))
         if tag in RAW:
             lower = lower if lower is not None else page.lower()
             end = lower.find(f"</{tag}", at) if len(lower) == len(page) else page.find(f"</{tag}", at)
             at = end if end >= 0 else len(page)
     if at < len(page):
         add(page[at:])
+    sizes = [(node.main, named, len(text.strip())) for node in nodes for text, _, named in node.parts]
+    in_main = any(main and size for main, _, size in sizes)
+    total, held = 0, {}
+    for main, named, size in sizes:
+        counted = size if main or not in_main else 0
+        total += counted
+        for element in named:
+            held[element] = held.get(element, 0) + counted
+    gone = {element for element, size in held.items() if 2 * size <= total}
+    for node in nodes:
+        node.settle(gone)
     return nodes
 
 
@@ -144,7 +172,7 @@ def main_text(page: str) -> str:
     Paths whose fused ratio reaches the mean less a share of the spread hold content; the deepest element that
     holds most of their text is the article, and all its blocks but mere lists of links are its text.
     """
-    nodes = [(n, t) for n in text_nodes(page) if (t := n.text)]
+    nodes = [(n, n.text) for n in text_nodes(page) if n.text]
     if not nodes:
         return ""
     sums: dict[str, list[float]] = {}
@@ -154,7 +182,8 @@ def main_text(page: str) -> str:
         for k, x in enumerate((len(text), mark, min(node.linked, len(text)), 1)):
             part[k] += x
     ratio = {
-        p: math.log1p(length / n * (1 + mark / n) * (1 - linked / length)) for p, (length, mark, linked, n) in sums.items()}
+        p: math.log1p(length / n * (1 + mark / n) * (1 - linked / length) * (NAMED if "~" in p else 1))
+        for p, (length, mark, linked, n) in sums.items()}
     raw = [ratio[node.path] for node, _ in nodes]
     padded = [raw[0], *raw, raw[-1]]
     smooth = [sum(w * x for w, x in zip(NEAR, padded[i : i + 3])) for i in range(len(raw))]

@@ -420,6 +420,20 @@ def test_main_text_leaves_out_what_is_beside_it():
     assert [html_text.main_text(x) for x in ("", "<p>", "plain  text", '<a "x <p>t', "<" * 2000)][:3] == ["", "", "plain text"]
 
 
+LONG = "A long sentence, with marks; it goes on, as sentences do. And another one, as long as that."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div class='layout has-sidebar'><p>{LONG}</p><p>{LONG}</p><div class=sidebar>Aside.</div></div>", f"{LONG} {LONG}"),
+    (f"<div id='page-with-nav'><section class='ad-free'><p>{LONG}</p><p>{LONG}</p></section></div>", f"{LONG} {LONG}"),
+    (f"<div class=widget><article><p>{LONG}</p></article></div><div class=comments><p>{LONG}</p><p>{LONG}</p></div>", LONG),
+    (f"<article><h2 class='section-header'>Head</h2><p>{LONG}</p><p class='related-work'>Work.</p><div class='share-price'>12 euro</div>"
+     "<p title='the hidden truth'>Seen.</p><p hidden>Not seen</p><p style='display: none'>Nor this</p></article>", f"Head {LONG} Work. 12 euro Seen."),
+])
+def test_names_take_no_article_away(page, text):
+    assert html_text.main_text(f"<html><body>{page}</body></html>") == text
+
+
 def test_pages_give_their_articles(spark, empty):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     import html
