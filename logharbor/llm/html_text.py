@@ -37,8 +37,8 @@ BESIDE = frozenset(
     "navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion reactions related "
     "recommended replies reply search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar "
     "tooltip warning widget".split())
-#: Share of the threshold path ratio's spread; weights of the smoothing; share of the kept text a container must hold.
-SPREAD, NEAR, HOLD = 0.5, (0.25, 0.5, 0.25), 0.75
+#: Share of the threshold path ratio's spread; weights of the smoothing.
+SPREAD, NEAR = 0.5, (0.25, 0.5, 0.25)
 #: Factor of the ratio of paths with an element whose name is in part one beside the text.
 NAMED = 0.5
 
@@ -170,7 +170,8 @@ def main_text(page: str) -> str:
     Per tag path the text length and the punctuation per node are multiplied, less what is in links; the
     logs are smoothed over neighbouring nodes and fused with the mean of the nodes in the same container.
     Paths whose fused ratio reaches the mean less a share of the spread hold content; the deepest element that
-    holds most of their text is the article, and all its blocks but mere lists of links are its text.
+    holds all of them, but none within an article or main, is the container, and all its blocks but mere lists
+    of links are the text. If it is the page itself, blocks below the threshold need content beside them.
     """
     nodes = [(n, n.text) for n in text_nodes(page) if n.text]
     if not nodes:
@@ -205,25 +206,27 @@ def main_text(page: str) -> str:
         part[0] += value * weight
         part[1] += weight
     content = {p for p, (value, weight) in by_path.items() if value / weight >= mean - SPREAD * spread - 1e-9}
-    held: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    total = 0
-    for node, text in nodes:
-        if node.path in content:
-            total += len(text)
-            for d, element in enumerate(node.chain):
-                held[element] = held.get(element, 0) + len(text)
-                depth[element] = d
+    chains = [node.chain for node, _ in nodes if node.path in content]
+    common = list(chains[0])
+    for chain in chains:
+        while common and tuple(common) != chain[: len(common)]:
+            common.pop()
     # A single paragraph is not the article, only what holds paragraphs is.
     leaf = {node.chain[-1] for node, _ in nodes if node.chain} - {e for node, _ in nodes for e in node.chain[:-1]}
-    inner = [e for e, n in held.items() if n >= HOLD * total and e not in leaf]
-    article = max(inner, key=lambda e: depth[e], default=None)
+    while common and common[-1] in leaf:
+        common.pop()
+    mains = {node.main for node, _ in nodes if node.path in content} - {0}
+    outer = [e for e in common if e in mains]
+    article = outer[0] if outer else common[-1] if common else None
+    pages = {n for node, _ in nodes for t, n in zip(node.path.split("/"), node.chain) if t in ("html", "body")}
+    with_content = {node.chain[-2] if len(node.chain) > 1 else 0 for node, _ in nodes if node.path in content}
     kept = []
     for node, text in nodes:
         if article is not None and article not in node.chain:
             continue
-        if article is None and node.path not in content:
-            continue
+        if (article is None or article in pages) and node.path not in content and node.main not in mains:
+            if (node.chain[-2] if len(node.chain) > 1 else 0) not in with_content:
+                continue
         if node.linked >= 0.8 * len(text) and not text.endswith((".", "!", "?")) and node.path not in content:
             continue
         kept.append(text)

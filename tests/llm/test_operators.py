@@ -434,6 +434,17 @@ def test_names_take_no_article_away(page, text):
     assert html_text.main_text(f"<html><body>{page}</body></html>") == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<article><h1>Title</h1><p>Lead.</p><div class='body'><p>{LONG}</p><p>{LONG}</p></div></article>", f"Title Lead. {LONG} {LONG}"),
+    (f"<article><p>Before it.</p><ul><li>{LONG}<li>{LONG}</ul><p>After it.</p></article>", f"Before it. {LONG} {LONG} After it."),
+    (f"<main><h1>Title</h1><section><p>{LONG}</p><p>{LONG}</p></section></main><div><p>Small print</p></div>", f"Title {LONG} {LONG}"),
+    (f"<div class=post><h2>A</h2><p>{LONG}</p></div><div class=post><h2>B</h2><p>{LONG}</p></div>", f"A {LONG} B {LONG}"),
+    (f"<div><p>{LONG}</p><blockquote><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></blockquote></div>", " ".join([LONG] * 4)),
+])
+def test_container_holds_all_content(page, text):
+    assert html_text.main_text(f"<html><body>{page}</body></html>") == text
+
+
 def test_pages_give_their_articles(spark, empty):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     import html
