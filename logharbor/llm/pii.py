@@ -171,8 +171,7 @@ class Model(NamedTuple):
         kinds, tops = scores.argmax(axis=1), scores.max(axis=1)
         ending: dict[int, list[int]] = {}
         for k, s in enumerate(found):
-            if tops[k] > -8:
-                ending.setdefault(s.last, []).append(k)
+            ending.setdefault(s.last, []).append(k)
         best, back = [0.0], [None]
         for j in range(1, len(units) + 1):
             top, from_ = best[j - 1] + self.out[outside(region, units[j - 1])], None
@@ -306,14 +305,14 @@ def labelled_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def train(docs: DataFrame, text_col: str = "text", regions_at_most: int = TRAINING_REGIONS, seed: int = 7) -> Model:
-    """Fit the model on at most ``regions_at_most`` regions, those that come first by hash.
+    """Fit the model on at most ``regions_at_most`` different regions, those that come first by hash.
 
     Labels are the fixed patterns' spans. Each labelled region is also used with its entity in other usual
     notations and with ordinary numbers in its place, so that the model finds notations that the patterns
     miss and leaves numbers alone. Without any region the model finds nothing.
     """
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(labelled_regions, "region string, labels array<string>")
-    rows = bounded_sample(materialize(found, "regions"), ["region", "labels"], regions_at_most).collect()
+    rows = bounded_sample(materialize(found.distinct(), "regions"), ["region", "labels"], regions_at_most).collect()
     rng = random.Random(seed)
     samples: list[tuple[str, list[Span]]] = []
     for row in rows:

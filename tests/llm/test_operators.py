@@ -311,6 +311,20 @@ def test_semi_markov_sums_match_enumeration():
     assert model.entities(region) == spans == gold
 
 
+def test_copies_of_a_region_count_once(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(pii, "fit", lambda samples, seed: taken.extend(samples))
+    texts = ["one line of 1999 and no more"] * 300 + [f"item {i} of the list" for i in range(30)]
+    pii.train(spark.createDataFrame([(t,) for t in texts], "text string"), regions_at_most=40)
+    assert len(taken) == len({region for region, _ in taken}) == 31
+
+
+def test_best_segmentation_may_hold_a_low_score():
+    found = pii.segments("12")[1]
+    low = pii.Model({"any": np.array([-9.0, -99.0, -99.0, -99.0])}, np.array([0.0, -20.0, 0.0]))
+    assert found and low.entities("12") == [("email", 0, 2)]
+
+
 def test_secrets_by_pattern_and_by_model(spark, small):
     def brute(t):
         found = [(m.start(), 0, "assign", m.end()) for m in re.finditer(secrets.ASSIGN, t) if len(m[2]) >= 12]
