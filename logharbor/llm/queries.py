@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logharbor.llm import best_fit, exact_dedup, html_text, jaccard_join, pii, secrets, sentencepiece, toxicity, vector_dedup, warc
+from logharbor.llm import (
+    best_fit, cutting_stock, exact_dedup, html_text, jaccard_join, lexical_search, pii, secrets, sentencepiece, toxicity, vector_dedup,
+    warc, whitening)
 from logharbor.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +134,33 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, chain).withColumn("spans", F.expr("array_join(transform(spans, s -> concat(s.start, ':', s.end)), ',')"))
+
+
+@query
+def op11_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutting_stock.pack(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
+
+
+@query
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_dual_tree_search"] = """
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t SEMI JOIN q USING (term) GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, s GROUP BY term, docs),
+i AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms)) AS u FROM f JOIN d USING (doc_id), s),
+r AS (SELECT item_id, doc_id, CAST(sum(w * u) AS BIGINT) AS score FROM q JOIN w USING (term) JOIN i USING (term) GROUP BY item_id, doc_id),
+o AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 50"""
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
