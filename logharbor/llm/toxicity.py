@@ -24,7 +24,6 @@ WINDOWS, SIDE = 4000, 6
 ODDS, CHANCE = 40.0, 1e-3
 #: Minhashes of a document in bands of ``ROWS``; documents with a band in common and this share of all are near copies.
 HASHES, ROWS, ALIKE = 32, 4, 0.5
-LEXICON = 20_000
 EPOCHS, RATE, DECAY = 80, 0.5, 0.02
 
 WORD = re.compile(r"\w+")
@@ -48,19 +47,26 @@ class Chain(NamedTuple):
     rate: float = 0.0  # mean marginal of the tokens of clean documents
 
 
-class Emissions(dict):
-    """Token to log-odds, kept while a task reads."""
+class Emissions:
+    """Distinct words with their log-odds, numbered and kept while a task reads."""
 
     def __init__(self, chain: Chain) -> None:
-        super().__init__()
         self.chain = chain
+        self.forget()
 
-    def __missing__(self, word: str) -> float:
-        if len(self) > 400_000:
-            self.clear()
-        weights = self.chain.weights
-        self[word] = score = self.chain.bias + sum(weights.get(f, 0.0) for f in features(word))
-        return score
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.scores = np.zeros(1024)
+
+    def codes(self, words: list[str]) -> np.ndarray:
+        """Number of each word; ``scores`` holds the log-odds by number."""
+        numbers, weights = self.numbers, self.chain.weights
+        for word in set(words).difference(numbers):
+            if len(numbers) == len(self.scores):
+                self.scores = np.append(self.scores, np.zeros(len(self.scores)))
+            self.scores[len(numbers)] = self.chain.bias + sum(weights.get(f, 0.0) for f in features(word))
+            numbers[word] = len(numbers)
+        return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
 
 
 def marginals(scores: list[np.ndarray], turn: float, stay: float) -> list[np.ndarray]:
@@ -258,30 +264,48 @@ def token_windows(lexicon: frozenset[str]):
 
 
 def excess(total: np.ndarray, tokens: np.ndarray, rate: float) -> np.ndarray:
-    """How far the log of the chance that no token is toxic is below a clean document's of that length, by its spread."""
+    """How far the log of the chance that no token is toxic is below a clean document's of that weight, by its spread."""
     return (total + math.log1p(-min(rate, 1 - 1e-9)) * tokens) / np.sqrt(1 + rate * tokens)
 
 
+def weights_of_tokens(codes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Weight of each token: the times that its document holds the word count as one plus their logarithm in all.
+
+    A word that is repeated without end says little more than one that is said once, and whether it lies a
+    little above a clean text's rate must not decide about a long text.
+    """
+    _, word, times = np.unique(owner << 32 | codes, return_inverse=True, return_counts=True)
+    return ((1 + np.log(times)) / times)[word]
+
+
 def tag(chain: Chain, offsets: bool):
-    """Per document the log of the chance that no token is toxic, negated, the sum of its tokens' marginals, their
-    number, its ``excess``, and where tokens are toxic."""
+    """Per document, over its tokens by weight: the log of the chance that none is toxic, negated, the sum of the
+    marginals and of the weights, its ``excess``, and where tokens are toxic."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emit = Emissions(chain)
         for batch in sliced(batches, 512):
+            if len(emit.numbers) > 400_000:
+                emit.forget()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            scores = [np.array([emit[w] for w in WORD.findall(t)]) for t in texts]
-            chances = marginals(scores, chain.turn, chain.stay)
-            total = np.array([-np.log1p(-np.minimum(p, 1 - 1e-9)).sum() for p in chances])
-            tokens, chance = np.array([len(p) for p in chances]), np.array([p.sum() for p in chances])
+            words = [WORD.findall(t) for t in texts]
+            lengths = np.array([len(w) for w in words], np.int64)
+            codes = emit.codes([w for part in words for w in part])
+            del words
+            ends = np.cumsum(lengths)
+            chances = marginals(np.split(emit.scores[codes], ends[:-1]), chain.turn, chain.stay)
+            p, owner = np.concatenate(chances), np.repeat(np.arange(len(texts)), lengths)
+            weight = weights_of_tokens(codes, owner)
+            total, chance, tokens = (
+                np.bincount(owner, weight * x, len(texts)) for x in (-np.log1p(-np.minimum(p, 1 - 1e-9)), p, np.ones(len(p))))
             columns = [batch.column(0), *(pa.array(x, pa.float64()) for x in (total, chance, tokens, excess(total, tokens, chain.rate)))]
             names = ["id", "total", "chance", "tokens", "mass"]
             if offsets:
-                found = []
-                for t, p in zip(texts, chances):
-                    hit = set(np.flatnonzero(p >= 0.5).tolist()) if len(p) else set()
-                    found.append([{"start": m.start(), "end": m.end()} for k, m in enumerate(WORD.finditer(t)) if k in hit] if hit else [])
+                found: list[list[dict]] = [[] for _ in texts]
+                for i in np.unique(owner[p >= 0.5]).tolist():
+                    hit = set(np.flatnonzero(chances[i] >= 0.5).tolist())
+                    found[i] = [{"start": m.start(), "end": m.end()} for k, m in enumerate(WORD.finditer(texts[i])) if k in hit]
                 columns.append(pa.array(found, span))
                 names.append("spans")
             yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -304,7 +328,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = materialize(known, "labels")
     sample = bounded_sample(known.where("toxic = 1"), ["id"], TOXIC_DOCS).union(bounded_sample(known.where("toxic = 0"), ["id"], CLEAN_DOCS))
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    chosen = materialize(chosen.select("id", "text", "toxic"), "labelled").repartition(16)
+    kind = docs.schema[id_col].dataType.simpleString()
+    chosen = materialize(chosen.select("id", "text", "toxic"), "labelled").repartition(max(16, spark.sparkContext.defaultParallelism))
     nothing = Chain({}, -30.0, 0.0, 0.0, 0.0, -5.0)
     signed = chosen.select("text", "toxic").mapInArrow(signatures, "toxic int, alike binary").distinct().collect()
     groups = {k: near_copies([r["alike"] for r in signed if r["toxic"] == k]) for k in (0, 1)}
@@ -317,14 +342,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     odds = (bad / sizes[1]) / ((good + 0.1) / sizes[0])
     by_chance = bad * F.log(bad / (bad + good) / share) + F.when(good > 0, good * F.log(good / (bad + good) / (1 - share))).otherwise(0)
     strong = held.where(bad > 0).where((odds >= ODDS) & (by_chance >= -math.log(CHANCE)))
-    lexicon = frozenset(r["feature"] for r in strong.orderBy(F.desc("bad"), "feature").limit(LEXICON).select("feature").collect())
+    lexicon = frozenset(r["feature"] for r in strong.select("feature").collect())
     windows = chosen.select("text", "toxic").mapInArrow(token_windows(lexicon), "words array<string>, labels array<int>, toxic int")
     windows = materialize(windows.distinct(), "windows")
     rows = [bounded_sample(windows.where(f"toxic = {k}"), ["words", "labels"], WINDOWS).collect() for k in (1, 0)]
     if not rows[0] or not rows[1]:
         return nothing
     chain = fit_chain([(r["words"], r["labels"]) for part in rows for r in part])
-    tagged = chosen.select("id", "text").mapInArrow(tag(chain, False), "id long, total double, chance double, tokens double, mass double")
+    tagged = chosen.select("id", "text").mapInArrow(tag(chain, False), f"id {kind}, total double, chance double, tokens double, mass double")
     rows = tagged.join(sample, "id").select("total", "chance", "tokens", "toxic").collect()
     total, chance, tokens, toxic = (np.array([r[k] for r in rows], float) for k in range(4))
     rate = float(chance[toxic == 0].sum() / max(1.0, tokens[toxic == 0].sum()))
