@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.fixtures import PRODUCER, REL_DIR, fixture, landing_tree, oracle, window_texts
+from checks.fixtures import PRODUCER, REL_DIR, URL, fixture, landing_tree, oracle, window_texts
 from checks.registry import query
 from logharbor.functions import checks as fc
 from logharbor.functions.paths import archive_keys
 from logharbor.operators import integrity, sessions
+from logharbor.plans.line_round import line_round, round_requests
 from logharbor.schemas import SESSION, WINDOW
-from logharbor.session import scratch_path
+from logharbor.session import materialize, scratch_path
 from logharbor.sources import files, landing
 from logharbor.streaming.rounds import dedup_rounds, window_rounds
 from logharbor.streaming.stateful import dedup_with_state
@@ -268,3 +269,72 @@ def window_delivery_rounds(spark, sf_dir):
     last = spark.read.parquet(f"{base}/cursors").where(F.col("epoch") == spark.read.parquet(
         f"{base}/cursors").agg(F.max("epoch")).first()[0])
     return relative(last, spark, sf_dir).select(*SESSION, "channel", "file_index")
+
+
+# -- line path -----------------------------------------------------------------------
+
+ROUND_LINES = 3
+VALID = r"NOT regexp_full_match(line, '\s*') AND json_valid(line)"
+PLACED = f"""placed AS (SELECT *, CAST(SUM(size) OVER w - size AS BIGINT) AS byte_start, CAST(SUM(size) OVER w AS BIGINT) AS byte_end
+  FROM texts WINDOW w AS (PARTITION BY {W} ORDER BY line_no))"""
+AT_START = f"cursors0 AS (SELECT {PARENT} AS folder, session_id, channel, CAST(file_index AS BIGINT) AS file_index, read_offset FROM cursors)"
+S = "folder, session_id, channel"
+
+
+def round_tables(n: int) -> list[str]:
+    """Ready windows, requests, unaccepted places and cursors of round ``n``."""
+    return [
+        f"""start{n} AS (SELECT t.*, greatest(1, COALESCE(file_index, 0)) AS start_index, CASE WHEN file_index >= 1 THEN read_offset ELSE 0 END AS start_offset
+  FROM (SELECT {TREE_W}, k FROM tree) t LEFT JOIN cursors{n - 1} USING ({S}))""",
+        f"""ready{n} AS (SELECT * FROM (SELECT *, window_sequence - row_number() OVER (PARTITION BY {S} ORDER BY window_sequence) AS island
+  FROM start{n} WHERE window_sequence >= start_index) WHERE island = start_index - 1)""",
+        f"""requests{n} AS (SELECT {W}, k, batch_id, COUNT(*) AS line_count, MIN(byte_start) AS start_offset, MAX(byte_end) AS end_offset,
+    concat(string_agg(line, chr(10) ORDER BY line_no), chr(10)) AS body
+  FROM (SELECT p.*, k, (row_number() OVER (PARTITION BY {W} ORDER BY line_no) - 1) // {ROUND_LINES} AS batch_id
+    FROM placed p JOIN ready{n} USING ({W}) WHERE {VALID} AND (window_sequence > start_index OR byte_start >= start_offset)) GROUP BY ALL)""",
+        f"""refused{n} AS (SELECT {W}, MIN(start_offset) AS retry FROM requests{n} LEFT JOIN (SELECT request_id, status FROM responses)
+    ON request_id = k + batch_id + {10 * n}
+  WHERE NOT COALESCE(status BETWEEN 200 AND 299 OR status IN (402, 409), false) GROUP BY ALL)""",
+        f"""moved{n} AS (SELECT {S}, CAST(COALESCE(MIN(window_sequence) FILTER (retry IS NOT NULL), MAX(window_sequence) + 1) AS BIGINT) AS file_index,
+    COALESCE(arg_min(retry, window_sequence) FILTER (retry IS NOT NULL), 0) AS read_offset
+  FROM ready{n} LEFT JOIN refused{n} USING ({W}) GROUP BY ALL)""",
+        f"""cursors{n} AS (SELECT {S}, file_index, read_offset FROM moved{n}
+  UNION ALL SELECT {S}, file_index, read_offset FROM cursors{n - 1} ANTI JOIN moved{n} USING ({S}))""",
+    ]
+
+
+def in_tree(df, spark, sf_dir):
+    """The fixture's rows with the directories that its sessions have in the tree."""
+    root = landing_tree(spark, sf_dir)
+    return df.withColumn("folder", F.regexp_replace(F.concat_ws("/", F.lit(root), F.expr(PARENT)), "/$", ""))
+
+
+def answers(spark, sf_dir, number):
+    """Responses to a round's requests, as the responses table has them."""
+    keys = in_tree(fixture(spark, sf_dir, "windows").select(*WINDOW, "k"), spark, sf_dir)
+    known = fixture(spark, sf_dir, "responses").select("request_id", "status")
+
+    def send(requests):
+        asked = requests.select(*WINDOW, "batch_id").join(keys, WINDOW).withColumn("request_id", F.col("k") + F.col("batch_id") + 10 * number)
+        return asked.join(known, "request_id").select(*WINDOW, "batch_id", "status", F.lit("").alias("body"))
+
+    return send
+
+
+@query(oracle(f"SELECT {W}, batch_id, line_count, start_offset, end_offset, body FROM requests1", TREE, TEXTS, PLACED, AT_START, *round_tables(1)))
+def line_path_files(spark, sf_dir):
+    """The first round's requests, read from the files of the tree."""
+    cursors = in_tree(fixture(spark, sf_dir, "cursors"), spark, sf_dir)
+    found = round_requests(tree_windows(spark, sf_dir), cursors, URL, max_lines=ROUND_LINES)
+    return relative(found["requests"], spark, sf_dir).select(
+        *WINDOW, "batch_id", "line_count", "start_offset", "end_offset", "body")
+
+
+@query(oracle(f"SELECT {S}, file_index, read_offset FROM cursors2", TREE, TEXTS, PLACED, AT_START, *round_tables(1), *round_tables(2)))
+def line_path_rounds(spark, sf_dir):
+    """Cursors after two rounds; a refused window resumes at the request that was refused."""
+    cursors = in_tree(fixture(spark, sf_dir, "cursors"), spark, sf_dir)
+    for number in (1, 2):
+        found = line_round(tree_windows(spark, sf_dir), cursors, answers(spark, sf_dir, number), URL, max_lines=ROUND_LINES)
+        cursors = materialize(found["cursors"], "cursors")
+    return relative(cursors, spark, sf_dir)

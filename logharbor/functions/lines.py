@@ -15,6 +15,8 @@ def is_blank(line: Column) -> Column:
 # Closes a line's array when its text is checked. A line that holds it itself is checked
 # a second way.
 END_MARK = "\u241c"
+#: Bytes above which a line may be too large for the parser that serves all others; it is then read by another.
+LARGE_LINE = 16 << 20
 
 
 def _type_of(doc: Column) -> Column:
@@ -27,6 +29,16 @@ def _type_of(doc: Column) -> Column:
     return F.when(text.isNull() | nested, "unknown").otherwise(text)
 
 
+def _type_of_large(line: Column) -> Column:
+    """Event type of a line beyond the size that a parsed document may have, null if it is not JSON.
+
+    Read as text alone, a type that begins with a bracket counts as nested.
+    """
+    single = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
+    text = F.get_json_object(line, "$.type")
+    return F.when(single, F.when(text.isNull() | text.rlike(r"^[{\[]"), "unknown").otherwise(text))
+
+
 def line_types(line: Column) -> Column:
     """One-element array with the event type of a valid JSON line, empty for other text.
 
@@ -45,7 +57,8 @@ def line_types(line: Column) -> Column:
         return F.when(F.coalesce(marked, F.lit(False)) & whole, _type_of(doc))
 
     # Binding the document in a lambda parses it once for all its uses.
-    return F.filter(F.transform(F.array(parsed), kind), lambda found: found.isNotNull())
+    found = F.transform(F.array(parsed), lambda doc: F.coalesce(kind(doc), F.when(F.octet_length(line) > LARGE_LINE, _type_of_large(line))))
+    return F.filter(found, lambda name: name.isNotNull())
 
 
 def event_type(line: Column) -> Column:

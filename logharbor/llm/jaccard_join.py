@@ -16,17 +16,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logharbor.llm.components import connected_components
 from logharbor.llm.frames import sliced
 from logharbor.llm.words import mix, shingle_sets
-from logharbor.session import materialize
+from logharbor.session import materialize, remove_scratch, scratch_path
 
 #: Seeds of the token orders; tokens of equal frequency are ordered by their hash with the seed.
 ORDERS = (1, 2, 3)
 #: Size of the low share of the hash space, as a multiple of a prefix's share of its set.
 LOW = 1.4
+#: One text in so many is looked at for tokens that one in ``HOT`` of them has, ``LEAST_HOT`` at least. So at most
+#: ``HOT`` times the mean number of a text's tokens are broadcast.
+SAMPLE, HOT, LEAST_HOT = 64, 50, 100
 
 
 def prefix_length(n: Column, percent: int) -> Column:
@@ -80,24 +83,44 @@ def enough(n: str, place: str, other_n: str, other_place: str, percent: int) ->
     return after * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
 
 
+def shared_tokens(sets: DataFrame) -> DataFrame:
+    """``(id, token, texts)`` of the tokens that more than one text has; ``texts`` is the same for all of them.
+
+    Tokens that a large share of texts have are found in a sample of the texts first and never shuffled: which
+    tokens those are decides about the way and about ``texts``, where they count as the most frequent ones, not
+    about the rows. All other tokens are shuffled once and counted where they meet.
+    """
+    listed = lambda part: part.select("id", F.explode("tokens").alias("token"))
+    few = sets.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
+    least = F.lit(max(LEAST_HOT, few.count() // HOT))
+    hot = listed(few).groupBy("token").agg(F.count(F.lit(1)).alias("seen")).where(F.col("seen") >= least)
+    marked = listed(sets).join(F.broadcast(materialize(hot, "hot")), "token", "left")
+    known = marked.where("seen IS NOT NULL").select("id", "token", (F.col("seen") + F.lit(2**40)).alias("texts"))
+    rest = marked.where("seen IS NULL").select("id", "token")
+    rest = rest.withColumn("texts", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("texts > 1")
+    return known.unionAll(rest.select("id", "token", "texts"))
+
+
 def open_slots(sets: DataFrame, percent: int) -> DataFrame:
-    """Texts ``(id, n, tokens)`` whose prefix has room for tokens of other texts.
+    """Texts ``(id, n)`` whose prefix has room for tokens of other texts.
 
     Adds ``met`` (tokens that other texts have too, with the number of texts), ``own`` (how many no other
     has) and ``slots`` (how many of ``met`` belong to the prefix). Counts are of all texts given.
     """
-    listed = sets.select("id", F.explode("tokens").alias("token"))
-    common = listed.groupBy("token").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    met = listed.join(common, "token").groupBy("id").agg(F.collect_set(F.struct("texts", "token")).alias("met"))
-    own = F.size("tokens") - F.size("met")
+    met = shared_tokens(sets).groupBy("id").agg(F.collect_set(F.struct("texts", "token")).alias("met"))
+    own = F.col("held") - F.size("met")
     return (
-        sets.join(met, "id").withColumn("own", own)
+        sets.select("id", "n", F.size("tokens").alias("held")).join(met, "id").withColumn("own", own).drop("held")
         .withColumn("slots", prefix_length(F.col("n"), percent) - F.col("own")).where("slots > 0")
     )
 
 
 def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
+    """The pairs ``(a, b)`` whose full sets are similar enough.
+
+    The pairs are stored first: where they turn out few, Spark takes them to the sets and shuffles no set.
+    """
+    pairs = materialize(pairs, "pairs")
     first = tokens.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
     second = tokens.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -133,16 +156,21 @@ def similar_texts(
     tokens are the rarest, so passages that many texts share hardly ever pair texts.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sketch = materialize(
-        rows.mapInArrow(sketch_sets(width, percent), f"id {rows.schema['id'].dataType.simpleString()}, n int, name binary, low array<long>"),
-        "sketches")
+    spark, kind = docs.sparkSession, rows.schema["id"].dataType.simpleString()
+    sketched = scratch_path(spark, "sketches")
+    schema = f"id {kind}, n int, name binary, low array<long>"
+    rows.mapInArrow(sketch_sets(width, percent), schema).write.parquet(sketched)
+    low = spark.read.schema(schema).parquet(sketched)
+    sketch = materialize(low.drop("low"), "names")
     usable = sketch.where("n > 0 AND id IS NOT NULL")
     classes = materialize(usable.groupBy("name").agg(F.min("id").alias("node")), "sets")
-    heads = usable.join(classes.select("name", F.col("node").alias("id")), ["name", "id"])
-
-    kind = rows.schema["id"].dataType.simpleString()
+    # The few copies are taken away, so that tokens aren't shuffled to find the others.
+    copies = materialize(
+        usable.select("id", "name").join(classes, "name").where("id <> node").select("id", "name").distinct(), "copies")
+    heads = low.where("n > 0 AND id IS NOT NULL").join(copies, ["id", "name"], "left_anti")
     sieved = open_slots(heads.select("id", "n", F.col("low").alias("tokens")), percent).select("id")
     sieved = materialize(sieved, "sieved")
+    remove_scratch(spark, sketched)
     texts = rows.join(sieved, "id", "left_semi")
     tokens = materialize(texts.mapInArrow(full_sets(width), f"id {kind}, tokens array<long>"), "tokens")
 

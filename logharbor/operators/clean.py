@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from logharbor.functions.lines import is_blank, is_json, line_types
 from logharbor.functions.metrics import metric_position, metric_value
 from logharbor.operators.dedup import metric_dedup
+from logharbor.operators.skew import join_keys
 from logharbor.schemas import (
     DEDUP_CHANNEL,
     METRIC_BATCH,
@@ -95,7 +96,7 @@ def dedup_summary(batches: DataFrame, kept: DataFrame, keys: Sequence[str] = tup
     total = F.size("batch.rows").cast("bigint")
     left = F.coalesce(F.size("kept_rows"), F.lit(0)).cast("bigint")
     return (
-        batches.join(kept_rows, list(keys), "left")
+        join_keys(batches, kept_rows, keys, "left")
         .withColumns({"row_count": total, "kept_count": left})
         .withColumn(
             "action",

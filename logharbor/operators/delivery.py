@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from logharbor.functions.lines import is_blank
 from logharbor.functions.paths import endpoint_url
+from logharbor.operators.skew import join_keys
 from logharbor.schemas import (
     COMPLETE_FIRST_DELAY_S,
     COMPLETE_MAX_TRIES,
@@ -94,8 +95,25 @@ def advance_cursor(results: DataFrame, cursors: DataFrame) -> DataFrame:
     )
     kept = cursors.select(
         *STREAM, F.col("file_index").cast("bigint"), F.col("read_offset").cast("bigint")
-    ).join(moved.select(*STREAM), STREAM, "left_anti")
-    return kept.unionByName(moved)
+    )
+    return join_keys(kept, moved.select(*STREAM), STREAM, "left_anti").unionByName(moved)
+
+
+def line_results(windows: DataFrame, requests: DataFrame, outcomes: DataFrame, faults: DataFrame | None = None) -> DataFrame:
+    """Per window ``accepted`` and ``retry_offset``, from the outcomes of the requests that carry its lines.
+
+    A window is through once all its requests are accepted, or if nothing of it was to be sent. Otherwise it
+    resumes at the first line of its first request that was refused or has no outcome: all before that is
+    accepted. A fault (``byte_start``) counts like a refused request from there on.
+    """
+    key = [*WINDOW, "batch_id"]
+    judged = join_keys(requests.select(*key, "start_offset"), outcomes.select(*key, "accepted"), key, "left")
+    open_at = judged.where(~F.coalesce("accepted", F.lit(False))).select(*WINDOW, "start_offset")
+    if faults is not None:
+        open_at = open_at.unionByName(faults.select(*WINDOW, F.col("byte_start").alias("start_offset")))
+    first = open_at.groupBy(*WINDOW).agg(F.min("start_offset").alias("retry_offset"))
+    results = join_keys(windows.select(*WINDOW), first, WINDOW, "left")
+    return results.withColumn("accepted", F.col("retry_offset").isNull())
 
 
 def record_acks(responses: DataFrame, acks: DataFrame | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logharbor.operators.ordered import Columns, State, ordered_fold
+from logharbor.operators.skew import join_keys
 from logharbor.schemas import MAX_BYTES, MAX_LINES, WINDOW
 
 
@@ -126,7 +127,7 @@ def pack_batches(
     size = F.col("size") if "size" in lines.columns else line_size()
     sized = lines.select(*keys, *order, size.alias("_size"))
     numbered = ordered_fold(sized, list(keys), list(order), fold, result="batch_id")
-    return lines.join(numbered.drop("_size"), [*keys, *order])
+    return join_keys(lines, numbered.drop("_size"), [*keys, *order])
 
 
 def batch_summary(packed: DataFrame, keys: Sequence[str] = tuple(WINDOW)) -> DataFrame:
@@ -142,11 +143,15 @@ def batch_summary(packed: DataFrame, keys: Sequence[str] = tuple(WINDOW)) -> Dat
 def batch_bodies(packed: DataFrame, keys: Sequence[str] = tuple(WINDOW)) -> DataFrame:
     """Request bodies: the lines of each request, each ended by a newline.
 
-    A request is bounded by the packing limits, so collecting its lines is too.
+    A request is bounded by the packing limits, so collecting its lines is too. Lines that come with
+    their byte positions give the request's own, ``start_offset`` and ``end_offset``.
     """
+    placed = {"byte_start", "byte_end"} <= set(packed.columns)
+    span = [F.min("byte_start").alias("start_offset"), F.max("byte_end").alias("end_offset")] if placed else []
     ordered = F.array_sort(F.collect_list(F.struct("line_no", "line")))
     return packed.groupBy(*keys, "batch_id").agg(
         F.count("*").alias("line_count"),
+        *span,
         F.concat(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n"), F.lit("\n")).alias(
             "body"
         ),

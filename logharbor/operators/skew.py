@@ -3,12 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SPREAD = 16
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal key parts, null being equal to null: a row whose key has a null part is a row like others."""
+    others = {key: f"_key{n}" for n, key in enumerate(keys)}
+    renamed = right.withColumnsRenamed(others)
+    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(other)) for key, other in others.items()])
+    joined = left.join(renamed, same, how)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
+    return joined.select(*keys, *[c for c in left.columns if c not in keys], *added)
+
+
 def lookup(
     rows: DataFrame,
     table: DataFrame,
@@ -17,7 +28,7 @@ def lookup(
     how: str = "left",
     spread: int = SPREAD,
 ) -> DataFrame:
-    """Join ``rows`` to a ``table`` that has at most one row per key.
+    """Join ``rows`` to a ``table`` that has at most one row per key; keys match as in ``join_keys``.
 
     No side is hinted for broadcast: Spark broadcasts the table by itself when its
     measured size is below the session threshold. Beyond that, the rows of one key go
@@ -26,7 +37,7 @@ def lookup(
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(spread)).cast("int"))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return join_keys(salted, copies, [*keys, "_salt"], how).drop("_salt")
 
 
 def previous_value(
@@ -47,8 +58,7 @@ def previous_value(
     across = Window.partitionBy(*keys).orderBy("_bucket")
     links = tops.select(*keys, "_bucket", F.lag("_top").over(across).alias("_before"))
     return (
-        bucketed.withColumn("_lag", F.lag(position).over(inside))
-        .join(links, [*keys, "_bucket"])
+        join_keys(bucketed.withColumn("_lag", F.lag(position).over(inside)), links, [*keys, "_bucket"])
         .withColumn(out, F.coalesce("_lag", "_before"))
         .drop("_bucket", "_lag", "_before")
     )
@@ -81,8 +91,7 @@ def running_total(
         *keys, "_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base")
     )
     return (
-        bucketed.withColumn("_inside", F.sum("_amount").over(inside))
-        .join(bases, [*keys, "_bucket"])
+        join_keys(bucketed.withColumn("_inside", F.sum("_amount").over(inside)), bases, [*keys, "_bucket"])
         .withColumn(out, F.col("_base") + F.col("_inside"))
         .drop("_bucket", "_amount", "_inside", "_base")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -34,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     fallback = tempfile.mkdtemp(prefix="logharbor-")
     spark.conf.set(CHECKPOINT_CONF, fallback)
@@ -46,6 +47,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/logharbor/{label}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table made at a ``scratch_path`` that nothing reads any more."""
+    if not path.startswith(f"{shared_dir(spark)}/logharbor/"):
+        raise ValueError(f"{path} is no scratch path of this session")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later passes see the same rows in the same partitions."""
     spark = df.sparkSession
