@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logharbor import prepare
+from logharbor.session import remove_scratch, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -49,6 +50,32 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def dealt_table(df: DataFrame, key: str, label: str) -> tuple[DataFrame, str]:
+    """The rows as a bucketed table in the shared folder, and the table's path.
+
+    Joins and aggregates by ``key`` read it where it lies, without a shuffle. The frame should come in
+    ``shuffle_partitions`` parts by the key, or every task writes a file for every bucket.
+    """
+    path = scratch_path(df.sparkSession, label)
+    parts = shuffle_partitions(df.sparkSession)
+    df.write.format("parquet").option("path", path).bucketBy(parts, key).saveAsTable(dealt_name(path))
+    return df.sparkSession.table(dealt_name(path)), path
+
+
+def dealt_name(path: str) -> str:
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
+def drop_dealt(spark: SparkSession, path: str) -> None:
+    """Remove a table of ``dealt_table`` that nothing reads any more, with its files."""
+    spark.sql(f"DROP TABLE {dealt_name(path)}")
+    remove_scratch(spark, path)
+
+
 def bounded_sample(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
     """At most ``rows`` rows, those first by hash of the keys; the same rows however the frame is split.
 

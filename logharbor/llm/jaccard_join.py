@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logharbor.llm.components import connected_components
-from logharbor.llm.frames import sliced
+from logharbor.llm.frames import dealt_table, drop_dealt, shuffle_partitions, sliced
 from logharbor.llm.words import mix, shingle_sets
 from logharbor.session import materialize, remove_scratch, scratch_path
 
@@ -171,8 +171,9 @@ def similar_texts(
     sieved = open_slots(heads.select("id", "n", F.col("low").alias("tokens")), percent).select("id")
     sieved = materialize(sieved, "sieved")
     remove_scratch(spark, sketched)
-    texts = rows.join(sieved, "id", "left_semi")
-    tokens = materialize(texts.mapInArrow(full_sets(width), f"id {kind}, tokens array<long>"), "tokens")
+    # Dealt by id once, sets lie where all later joins by id look for them.
+    texts = rows.where("id IS NOT NULL").repartition(shuffle_partitions(spark), "id").join(sieved, "id", "left_semi")
+    tokens, stored = dealt_table(texts.mapInArrow(full_sets(width), f"id {kind}, tokens array<long>"), "id", "tokens")
 
     ordered = open_slots(tokens.dropDuplicates(["id"]).withColumn("n", F.size("tokens")), percent)
     order = [
@@ -205,7 +206,8 @@ def similar_texts(
         smaller & (F.col("component_a") != F.col("component_b"))
         & sized("n_a", "n_b", percent) & enough("n_a", "place_a", "n_b", "place_b", percent))
     across = across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-    more = verified(passing(across, prefixes), tokens, percent)
+    more = materialize(verified(passing(across, prefixes), tokens, percent), "links")
+    drop_dealt(spark, stored)
 
     found = connected_components(links.union(more))
     named = classes.join(found, "node", "left").select("name", F.coalesce("component", "node").alias("component"))
