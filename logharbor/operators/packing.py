@@ -140,14 +140,13 @@ def batch_summary(packed: DataFrame, keys: Sequence[str] = tuple(WINDOW)) -> Dat
     )
 
 
-def batch_bodies(packed: DataFrame, keys: Sequence[str] = tuple(WINDOW)) -> DataFrame:
+def batch_bodies(packed: DataFrame, keys: Sequence[str] = tuple(WINDOW), with_offsets: bool = False) -> DataFrame:
     """Request bodies: the lines of each request, each ended by a newline.
 
-    A request is bounded by the packing limits, so collecting its lines is too. Lines that come with
-    their byte positions give the request's own, ``start_offset`` and ``end_offset``.
+    A request is bounded by the packing limits, so collecting its lines is too. ``with_offsets`` adds the
+    request's byte positions, ``start_offset`` and ``end_offset``, from those of its lines.
     """
-    placed = {"byte_start", "byte_end"} <= set(packed.columns)
-    span = [F.min("byte_start").alias("start_offset"), F.max("byte_end").alias("end_offset")] if placed else []
+    span = [F.min("byte_start").alias("start_offset"), F.max("byte_end").alias("end_offset")] if with_offsets else []
     ordered = F.array_sort(F.collect_list(F.struct("line_no", "line")))
     return packed.groupBy(*keys, "batch_id").agg(
         F.count("*").alias("line_count"),

@@ -26,9 +26,10 @@ def line_requests(
     max_lines: int = MAX_LINES,
     max_bytes: int = MAX_BYTES,
     cursors: DataFrame | None = None,
+    with_offsets: bool = False,
 ) -> DataFrame:
-    """Line-batch requests of each log window."""
+    """Line-batch requests of each log window, ``with_offsets`` as in ``batch_bodies``."""
     # Packing reads the sizes several times and the texts once; the lines are prepared once.
     events = line_events(lines, time_col, cursors).withColumn("size", line_size())
     packed = pack_batches(materialize(events, "lines"), max_lines, max_bytes)
-    return outbox_lines(batch_bodies(packed), endpoint_host)
+    return outbox_lines(batch_bodies(packed, with_offsets=with_offsets), endpoint_host)

@@ -36,7 +36,7 @@ def round_requests(
     faults = lines.where("fault is not null").withColumn("byte_start", F.greatest(
         "byte_start", F.when(F.col("window_sequence") == F.col("start_index"), F.col("start_offset")).otherwise(0)))
     fresh = resume_lines(lines.where("fault is null").drop("fault"))
-    requests = line_requests(fresh, endpoint_host, time_col, max_lines, max_bytes)
+    requests = line_requests(fresh, endpoint_host, time_col, max_lines, max_bytes, with_offsets=True)
     return {"ready": ready, "faults": faults, "requests": materialize(requests, "requests")}
 
 
