@@ -83,34 +83,38 @@ def enough(n: str, place: str, other_n: str, other_place: str, percent: int) ->
     return after * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
 
 
-def shared_tokens(sets: DataFrame) -> DataFrame:
+def shared_tokens(sets: DataFrame, row: str) -> DataFrame:
     """``(id, token, texts)`` of the tokens that more than one text has; ``texts`` is the same for all of them.
 
-    Tokens that a large share of texts have are found in a sample of the texts first and never shuffled: which
-    tokens those are decides about the way and about ``texts``, where they count as the most frequent ones, not
-    about the rows. All other tokens are shuffled once and counted where they meet.
+    Tokens that a large share of rows have are found in a sample of the rows first, by column ``row``, and never
+    shuffled: which tokens those are decides about the way and about ``texts``, where they count as the most
+    frequent ones. One that only copies have may be among them, which costs work and changes no link. All other
+    tokens are shuffled once and counted where they meet.
     """
     listed = lambda part: part.select("id", F.explode("tokens").alias("token"))
-    few = sets.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
+    few = sets.where(F.pmod(F.xxhash64(row), F.lit(SAMPLE)) == 0)
     least = F.lit(max(LEAST_HOT, few.count() // HOT))
     hot = listed(few).groupBy("token").agg(F.count(F.lit(1)).alias("seen")).where(F.col("seen") >= least)
     marked = listed(sets).join(F.broadcast(materialize(hot, "hot")), "token", "left")
     known = marked.where("seen IS NOT NULL").select("id", "token", (F.col("seen") + F.lit(2**40)).alias("texts"))
     rest = marked.where("seen IS NULL").select("id", "token")
-    rest = rest.withColumn("texts", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("texts > 1")
+    met = Window.partitionBy("token")
+    rest = rest.withColumns({"texts": F.count(F.lit(1)).over(met), "least": F.min("id").over(met), "most": F.max("id").over(met)})
+    rest = rest.where("least <> most")
     return known.unionAll(rest.select("id", "token", "texts"))
 
 
-def open_slots(sets: DataFrame, percent: int) -> DataFrame:
-    """Texts ``(id, n)`` whose prefix has room for tokens of other texts.
+def open_slots(sets: DataFrame, percent: int, row: str = "id") -> DataFrame:
+    """Texts ``(id, n)`` whose prefix has room for tokens of other texts; rows that repeat an id are one text.
 
     Adds ``met`` (tokens that other texts have too, with the number of texts), ``own`` (how many no other
     has) and ``slots`` (how many of ``met`` belong to the prefix). Counts are of all texts given.
     """
-    met = shared_tokens(sets).groupBy("id").agg(F.collect_set(F.struct("texts", "token")).alias("met"))
+    met = shared_tokens(sets, row).groupBy("id").agg(F.collect_set(F.struct("texts", "token")).alias("met"))
     own = F.col("held") - F.size("met")
     return (
-        sets.select("id", "n", F.size("tokens").alias("held")).join(met, "id").withColumn("own", own).drop("held")
+        sets.groupBy("id").agg(F.first("n").alias("n"), F.first(F.size("tokens")).alias("held"))
+        .join(met, "id").withColumn("own", own).drop("held")
         .withColumn("slots", prefix_length(F.col("n"), percent) - F.col("own")).where("slots > 0")
     )
 
@@ -164,12 +168,11 @@ def similar_texts(
     sketch = materialize(low.drop("low"), "names")
     usable = sketch.where("n > 0 AND id IS NOT NULL")
     classes = materialize(usable.groupBy("name").agg(F.min("id").alias("node")), "sets")
-    # The few copies are taken away, so that tokens aren't shuffled to find the others.
-    copies = materialize(
-        usable.select("id", "name").join(classes, "name").where("id <> node").select("id", "name").distinct(), "copies")
-    heads = low.where("n > 0 AND id IS NOT NULL").join(copies, ["id", "name"], "left_anti")
-    sieved = open_slots(heads.select("id", "n", F.col("low").alias("tokens")), percent).select("id")
-    sieved = materialize(sieved, "sieved")
+    # Copies go by one name and so meet nothing in each other.
+    named = F.xxhash64("name").alias("id")
+    filled = low.where("n > 0 AND id IS NOT NULL").select(F.col("id").alias("row"), named, "n", F.col("low").alias("tokens"))
+    sieved = open_slots(filled, percent, "row").select("id")
+    sieved = materialize(classes.select(named, "node").join(sieved, "id").select(F.col("node").alias("id")), "sieved")
     remove_scratch(spark, sketched)
     # Dealt by id once, sets lie where all later joins by id look for them.
     texts = rows.where("id IS NOT NULL").repartition(shuffle_partitions(spark), "id").join(sieved, "id", "left_semi")
