@@ -16,6 +16,7 @@ from logharbor.sources import files, landing
 from logharbor.streaming.rounds import dedup_rounds, window_rounds
 from logharbor.streaming.stateful import dedup_with_state
 from logharbor.streaming.windows import stream_windows as windows_stream, stream_lines
+from logharbor.streaming.zone import stream_landing_zone as zone_stream, stream_listed_windows as listed_windows
 
 W = "folder, session_id, channel, window_sequence"
 # The session's parent directory, relative to the tree.
@@ -38,7 +39,7 @@ def tree_windows(spark, sf_dir):
     return landing.list_windows(entries(spark, sf_dir))
 
 
-@query(oracle(f"""SELECT rel_dir, file_name AS name, false AS is_dir FROM tree
+LISTING = oracle(f"""SELECT rel_dir, file_name AS name, false AS is_dir FROM tree
   UNION ALL SELECT rel_dir, concat('.{PRODUCER}-window.', channel, '.', window_sequence, '.json'), false FROM tree JOIN (SELECT {W} FROM sidecars) USING ({W})
   UNION ALL SELECT rel_dir, concat('.{PRODUCER}-window-ack.', channel, '.', window_sequence), false FROM tree JOIN (SELECT {W} FROM acks) USING ({W})
   UNION ALL SELECT rel_dir, concat('.{PRODUCER}-transport-loss.agent-', channel, '.', window_sequence, '.json'), false FROM tree JOIN (SELECT {W} FROM losses) USING ({W})
@@ -47,7 +48,10 @@ def tree_windows(spark, sf_dir):
   UNION ALL SELECT {REL_DIR}, '.tmp', true FROM sessions WHERE tmp_present
   UNION ALL SELECT concat({REL_DIR}, '/.tmp'), 'device.log', false FROM sessions WHERE tmp_present
   UNION ALL SELECT DISTINCT parent, session_id, true FROM tree
-  UNION ALL SELECT DISTINCT '', parent, true FROM tree WHERE parent <> ''""", TREE))
+  UNION ALL SELECT DISTINCT '', parent, true FROM tree WHERE parent <> ''""", TREE)
+
+
+@query(LISTING)
 def scan_landing_zone(spark, sf_dir):
     return entries(spark, sf_dir).select("rel_dir", "name", "is_dir")
 
@@ -175,9 +179,9 @@ def archive_windows(spark, sf_dir):
 # -- streams -------------------------------------------------------------------------
 
 
-def finish(writer, spark):
+def finish(writer, spark, checkpoint=None):
     """Run a stream over all that is there, then stop."""
-    query = writer.option("checkpointLocation", scratch_path(spark, "stream")).trigger(availableNow=True).start()
+    query = writer.option("checkpointLocation", checkpoint or scratch_path(spark, "stream")).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
@@ -189,6 +193,24 @@ def stream_windows(spark, sf_dir):
     return relative(spark.read.parquet(out), spark, sf_dir).select(*WINDOW, "file_name", "is_gz")
 
 
+@query(LISTING)
+def stream_landing_zone(spark, sf_dir):
+    """The tree watched over three polls of one query, restarted in between; every entry comes once."""
+    out, checkpoint = scratch_path(spark, "entries"), scratch_path(spark, "stream")
+    for _ in range(3):
+        found = zone_stream(spark, [landing_tree(spark, sf_dir)], landing.CONTROL_FILES)
+        finish(found.writeStream.format("parquet").option("path", out), spark, checkpoint)
+    return spark.read.schema(landing.ENTRY).parquet(out).select("rel_dir", "name", "is_dir")
+
+
+@query(oracle(LISTED, TREE))
+def stream_listed_windows(spark, sf_dir):
+    out, root = scratch_path(spark, "windows"), landing_tree(spark, sf_dir)
+    found = listed_windows(zone_stream(spark, [root]), [root])
+    finish(found.writeStream.format("parquet").option("path", out), spark)
+    return relative(spark.read.parquet(out), spark, sf_dir).select(*WINDOW, "file_name", "is_gz")
+
+
 @query(oracle("SELECT folder, session_id, channel, window_sequence, line_no, line FROM texts", TREE, TEXTS))
 def stream_lines_of_windows(spark, sf_dir):
     out = scratch_path(spark, "lines")

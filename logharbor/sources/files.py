@@ -31,9 +31,9 @@ def locate(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(local)
 
 
-def spread_files(df: DataFrame, path: str = "path", tasks: int | None = None) -> DataFrame:
+def spread_files(df: DataFrame, path: str | list[str] = "path", tasks: int | None = None) -> DataFrame:
     count = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(count, path)
+    return df.repartition(count, *([path] if isinstance(path, str) else path))
 
 
 # -- lines ---------------------------------------------------------------------------

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from logharbor.functions.paths import parse_window_path
@@ -31,7 +30,7 @@ from logharbor.schemas import (
     UPLOADED_MARKER,
     WINDOW,
 )
-from logharbor.sources.files import locate
+from logharbor.sources.files import locate, spread_files
 
 ENTRY = T.StructType([
     T.StructField("folder", T.StringType()),
@@ -42,15 +41,9 @@ ENTRY = T.StructType([
     T.StructField("mtime_ms", T.LongType()),
     T.StructField("content", T.StringType()),
 ])
-DIRS_PER_TASK = 32
 ROWS_PER_BATCH = 4096
-
-
-class DirectoryGroup(InputPartition):
-    def __init__(self, folder: str, names: list[str], own_files: bool):
-        self.folder = folder
-        self.names = names
-        self.own_files = own_files
+#: Directories of a folder: those in it, and those in them. Only the latter are many within one directory.
+GROUPS, SESSIONS = 1, 2
 
 
 def listing(path: str) -> list[fs.FileInfo]:
@@ -58,89 +51,98 @@ def listing(path: str) -> list[fs.FileInfo]:
     return system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
 
 
-class LandingReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.folders = [f.rstrip("/") for f in json.loads(options["folders"])]
-        self.wanted = re.compile(options["content"]) if options.get("content") else None
-
-    def partitions(self) -> list[DirectoryGroup]:
-        """Groups of the folders' sub-directories; only their names pass the driver."""
-        groups = []
-        for folder in self.folders:
-            names = sorted(e.base_name for e in listing(folder) if e.type == fs.FileType.Directory)
-            groups.append(DirectoryGroup(folder, [], True))
-            for at in range(0, len(names), DIRS_PER_TASK):
-                groups.append(DirectoryGroup(folder, names[at:at + DIRS_PER_TASK], False))
-        return groups
-
-    def entries(self, group: DirectoryGroup) -> Iterator[tuple]:
-        if group.own_files:
-            for entry in listing(group.folder):
-                yield self.row(group.folder, "", entry)
-        for name in group.names:
-            yield from self.below(group.folder, name, 1)
-
-    def below(self, folder: str, rel_dir: str, depth: int) -> Iterator[tuple]:
-        for entry in listing(f"{folder}/{rel_dir}"):
-            yield self.row(folder, rel_dir, entry)
-            inside = depth == 1 or (depth == 2 and entry.base_name == TMP_DIR)
-            if inside and entry.type == fs.FileType.Directory:
-                yield from self.below(folder, f"{rel_dir}/{entry.base_name}", depth + 1)
-
-    def row(self, folder: str, rel_dir: str, entry: fs.FileInfo) -> tuple:
+def children(folder: str, rel_dir: str, depth: int) -> Iterator[tuple]:
+    """Entries of a directory, and below a session those of its working directory."""
+    for entry in listing(f"{folder}/{rel_dir}" if rel_dir else folder):
         is_dir = entry.type == fs.FileType.Directory
-        content = None
-        if not is_dir and self.wanted and self.wanted.match(entry.base_name):
-            system, inner = locate("/".join(p for p in (folder, rel_dir, entry.base_name) if p))
-            with system.open_input_stream(inner, compression=None) as stream:
-                content = stream.read().decode("utf-8", "replace")
         mtime = entry.mtime_ns // 1_000_000 if entry.mtime_ns else None
-        return folder, rel_dir, entry.base_name, is_dir, None if is_dir else entry.size, mtime, content
+        yield folder, rel_dir, entry.base_name, is_dir, None if is_dir else entry.size, mtime, None
+        if is_dir and depth == SESSIONS and entry.base_name == TMP_DIR and "/" in rel_dir:
+            yield from children(folder, f"{rel_dir}/{entry.base_name}", depth + 1)
+
+
+def entry_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    schema = to_arrow_schema(ENTRY)
+    while part := list(islice(rows, ROWS_PER_BATCH)):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(column, field.type) for column, field in zip(zip(*part), schema)], schema=schema)
+
+
+def dir_depth() -> Column:
+    """Level of a directory's entries: 1 for those directly in the folder, 0 for files."""
+    inside = F.when(F.col("rel_dir") == "", GROUPS).when(~F.col("rel_dir").contains("/"), SESSIONS).otherwise(0)
+    return F.when(F.col("is_dir"), inside).otherwise(0)
+
+
+def open_dirs(entries: DataFrame, depth: int, since_ms: int = 0) -> DataFrame:
+    """The entries, and after each directory at ``depth`` what is in it.
+
+    The directories are dealt to the tasks by name, with an explicit count: their rows are tiny, so a count
+    chosen from their size would put all the listing into one task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(ENTRY.names).cast(to_arrow_schema(ENTRY))
+            for folder, rel_dir, name, mtime, level in zip(
+                    *(batch.column(c).to_pylist() for c in ("folder", "rel_dir", "name", "mtime_ms", "depth"))):
+                if level == depth and (mtime is None or mtime >= since_ms):
+                    yield from entry_batches(children(folder, f"{rel_dir}/{name}" if rel_dir else name, depth))
+
+    return spread_files(entries.withColumn("depth", dir_depth()), ["folder", "rel_dir", "name"]).mapInArrow(run, ENTRY)
 
-    def read(self, partition: DirectoryGroup) -> Iterator[pa.RecordBatch]:
-        schema, rows = to_arrow_schema(ENTRY), []
-        for row in self.entries(partition):
-            rows.append(row)
-            if len(rows) == ROWS_PER_BATCH:
-                yield self.batch(rows, schema)
-                rows = []
-        if rows:
-            yield self.batch(rows, schema)
 
-    @staticmethod
-    def batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-        arrays = [pa.array(column, field.type) for column, field in zip(zip(*rows), schema)]
-        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+def open_folders(folders: DataFrame) -> DataFrame:
+    """What lies directly in the source folders."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                yield from entry_batches(children(folder, "", 0))
 
-class LandingZone(DataSource):
-    """Every file and directory below the source folders, dot-files included, which
-    Spark's own file sources hide."""
+    return folders.select("folder").mapInArrow(run, ENTRY)
 
-    @classmethod
-    def name(cls) -> str:
-        return "landing_zone"
 
-    def schema(self) -> T.StructType:
-        return ENTRY
+def with_content(entries: DataFrame, wanted: str) -> DataFrame:
+    """The (small) texts of the files whose names match the pattern ``wanted``."""
 
-    def reader(self, schema: T.StructType) -> LandingReader:
-        return LandingReader(dict(self.options))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        named, place = re.compile(wanted), ENTRY.names.index("content")
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("folder", "rel_dir", "name", "is_dir")))
+            texts = [None if is_dir or not named.match(name) else read_text("/".join(p for p in (folder, rel_dir, name) if p))
+                     for folder, rel_dir, name, is_dir in keys]
+            yield batch.set_column(place, "content", pa.array(texts, pa.string())).cast(to_arrow_schema(ENTRY))
+
+    return entries.mapInArrow(run, ENTRY)
+
+
+def read_text(path: str) -> str | None:
+    """Text of a file; null if it has gone since it was listed."""
+    system, inner = locate(path)
+    try:
+        with system.open_input_stream(inner, compression=None) as stream:
+            return stream.read().decode("utf-8", "replace")
+    except FileNotFoundError:
+        return None
 
 
 CONTROL_FILES = "|".join(p.strip("^").rstrip("$") + "$" for p in (SIDECAR_FILE, ACK_FILE, LOSS_FILE))
 
 
-def scan_landing_zone(spark: SparkSession, folders: list[str], content: str | None = None) -> DataFrame:
-    """Entries of the source folders down to ``<folder>/<group>/<session>/<file>``.
+def scan_landing_zone(
+    spark: SparkSession, folders: list[str], content: str | None = None, since_ms: int = 0
+) -> DataFrame:
+    """Entries of the source folders down to ``<folder>/<group>/<session>/<file>``, dot-files
+    included, which Spark's own file sources hide.
 
-    ``content`` is a pattern of file names whose (small) text is read along.
+    ``content`` is a pattern of file names whose (small) text is read along. Sessions of a group
+    whose directory was last changed before ``since_ms`` are named, but not opened. Directories
+    are listed level by level, each level dealt anew, so a group of many sessions is spread.
     """
-    spark.dataSource.register(LandingZone)
-    reader = spark.read.format("landing_zone").option("folders", json.dumps(folders))
-    if content:
-        reader = reader.option("content", content)
-    return reader.load()
+    roots = spark.createDataFrame([(f.rstrip("/"),) for f in folders], "folder string")
+    entries = open_dirs(open_dirs(open_folders(spread_files(roots, "folder", len(folders) or 1)), GROUPS), SESSIONS, since_ms)
+    return with_content(entries, content) if content else entries
 
 
 def in_session(entries: DataFrame) -> DataFrame:
