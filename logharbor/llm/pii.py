@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -20,13 +22,18 @@ KINDS = ("email", "ip", "card", "phone")
 ENTITY_UNITS = 24
 #: Labelled regions the model is fitted on, at most.
 TRAINING_REGIONS = 400
+#: Labelled regions longer than this many characters teach nothing; of regions and their variants together, this
+#: many per region of TRAINING_REGIONS are used.
+TRAINING_CHARS, VARIANTS = 400, 3
 #: Characters around something that may belong to an entity, and the gap over which two such places join.
 MARGIN, GAP = 24, 32
 EPOCHS, RATE, DECAY = 10, 0.3, 1e-3
 
 # Fixed patterns of the base spans.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+# A run of digits that fails from its start fails from any later digit, too.
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
@@ -48,11 +55,24 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of ``[LOCAL]+@DOMAIN``, leftmost and without overlap, looked for from the at signs: each character
+    is passed a fixed number of times, however long the runs are."""
+    free, at = 0, text.find("@")
+    while at >= 0:
+        head = text[free:at]
+        start = free + len(head.rstrip(LOCAL))
+        found = DOMAIN.match(text, at + 1) if start < at else None
+        if found:
+            yield start, found.end()
+        free = found.end() if found else at + 1
+        at = text.find("@", free)
+
+
 def base_spans(text: str) -> list[Span]:
     """Matches of the fixed patterns, leftmost and without overlap per kind; those that fail a test go."""
     found: list[Span] = []
-    if "@" in text:
-        found += [("email", *m.span()) for m in EMAIL.finditer(text)]
+    found += [("email", *span) for span in emails(text)]
     if DIGIT.search(text):
         found += [("ip", *m.span()) for m in IP.finditer(text) if all(part_fits(p) for p in m[0].split("."))]
         for m in CARD.finditer(text):
@@ -103,16 +123,15 @@ def char_class(c: str) -> str:
     return "none" if not c else "space" if c.isspace() else "digit" if c.isdigit() else "letter" if c.isalpha() else c
 
 
-def segments(region: str) -> tuple[list[tuple[int, int]], list[Segment]]:
-    """Units of a region, and its candidate entities with the features of each as a whole."""
-    units = [m.span() for m in UNIT.finditer(region)]
+def unit_segments(region: str, units: list[tuple[int, int]]) -> Iterator[list[Segment]]:
+    """For each unit in turn, the candidate entities that begin there, with the features of each as a whole."""
     anchored = np.zeros(len(region) + 1, np.int64)
     for m in ANCHOR.finditer(region):
         anchored[m.start() + 1] += 1
     anchored = np.cumsum(anchored)
-    found, previous = [], ""
+    previous = ""
     for i, (a, _) in enumerate(units):
-        c = region[a]
+        c, found = region[a], []
         if c.isalnum() or c in "+(":
             for j in range(i + 1, min(len(units), i + ENTITY_UNITS) + 1):
                 b = units[j - 1][1]
@@ -120,7 +139,13 @@ def segments(region: str) -> tuple[list[tuple[int, int]], list[Segment]]:
                     found.append(Segment(i, j, span_features(region, a, b, previous)))
         if c.isalpha():
             previous = region[a : units[i][1]].lower()
-    return units, found
+        yield found
+
+
+def segments(region: str) -> tuple[list[tuple[int, int]], list[Segment]]:
+    """Units of a region, and all its candidate entities."""
+    units = [m.span() for m in UNIT.finditer(region)]
+    return units, [s for part in unit_segments(region, units) for s in part]
 
 
 def span_features(region: str, a: int, b: int, previous: str) -> list[str]:
@@ -163,31 +188,27 @@ class Model(NamedTuple):
         return np.array([sum((self.weights.get(f, zero) for f in s.features), zero) for s in found]).reshape(-1, len(KINDS))
 
     def entities(self, region: str) -> list[Span]:
-        """The best segmentation of a region, by dynamic programming over bounded segments."""
-        units, found = segments(region)
-        if not found:
-            return []
-        scores = self.scores(found)
-        kinds, tops = scores.argmax(axis=1), scores.max(axis=1)
-        ending: dict[int, list[int]] = {}
-        for k, s in enumerate(found):
-            ending.setdefault(s.last, []).append(k)
-        best, back = [0.0], [None]
-        for j in range(1, len(units) + 1):
-            top, from_ = best[j - 1] + self.out[outside(region, units[j - 1])], None
-            for k in ending.get(j, ()):
-                if (value := best[found[k].first] + tops[k]) > top:
-                    top, from_ = value, k
-            best.append(top)
-            back.append(from_)
+        """The best segmentation of a region, by dynamic programming over bounded segments.
+
+        Only the segments of one unit are held at a time; of all others only the best score and the step to it.
+        """
+        units = [m.span() for m in UNIT.finditer(region)]
+        best = [0.0] + [-np.inf] * len(units)
+        back: list[tuple[int, int] | None] = [None] * (len(units) + 1)
+        for i, found in enumerate(unit_segments(region, units)):
+            if (plain := best[i] + self.out[outside(region, units[i])]) >= best[i + 1]:
+                best[i + 1], back[i + 1] = plain, None
+            for s, scores in zip(found, self.scores(found)):
+                kind = int(scores.argmax())
+                if (value := best[i] + scores[kind]) > best[s.last]:
+                    best[s.last], back[s.last] = value, (i, kind)
         spans, j = [], len(units)
         while j:
-            if back[j] is None:
+            if (step := back[j]) is None:
                 j -= 1
             else:
-                s = found[back[j]]
-                spans.append((KINDS[kinds[back[j]]], units[s.first][0], units[s.last - 1][1]))
-                j = s.first
+                spans.append((KINDS[step[1]], units[step[0]][0], units[j - 1][1]))
+                j = step[0]
         return spans[::-1]
 
 
@@ -297,7 +318,7 @@ def labelled_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for text in batch.column(0).to_pylist():
             spans = base_spans(text) if text else []
             for low, high in regions(text) if text else ():
-                if high - low <= 400:
+                if high - low <= TRAINING_CHARS:
                     texts.append(text[low:high])
                     labels.append([f"{k}:{a - low}:{b - low}" for k, a, b in spans if low <= a and b <= high])
         if texts:
@@ -307,7 +328,8 @@ def labelled_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def train(docs: DataFrame, text_col: str = "text", regions_at_most: int = TRAINING_REGIONS, seed: int = 7) -> Model:
     """Fit the model on at most ``regions_at_most`` different regions, those that come first by hash.
 
-    Labels are the fixed patterns' spans. Each labelled region is also used with its entity in other usual
+    The bounds on labelled rows are ``regions_at_most``, ``TRAINING_CHARS`` and ``VARIANTS``; regions whose labels
+    overlap are left out, as no segmentation holds both. Labels are the fixed patterns' spans. Each labelled region is also used with its entity in other usual
     notations and with ordinary numbers in its place, so that the model finds notations that the patterns
     miss and leaves numbers alone. Without any region the model finds nothing.
     """
@@ -326,17 +348,20 @@ def train(docs: DataFrame, text_col: str = "text", regions_at_most: int = TRAINI
             samples += list(variants(row["region"], gold[0], rng))
             samples += list(counterexamples(row["region"], gold[0], rng))
     rng.shuffle(samples)
-    return fit(samples[: 3 * regions_at_most], seed)
+    return fit(samples[: VARIANTS * regions_at_most], seed)
 
 
 def all_spans(text: str, model: Model) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans: the base ones and those of the model that overlap none of them."""
     base = base_spans(text)
+    starts = [a for _, a, _ in base]
+    reach = list(accumulate((b for _, _, b in base), max))  # where the base spans up to each one end
     extra: list[Span] = []
     for low, high in regions(text):
         for kind, a, b in model.entities(text[low:high]):
             a, b = a + low, b + low
-            if all(b <= x or y <= a for _, x, y in base):
+            before = bisect_left(starts, b)
+            if not before or reach[before - 1] <= a:
                 extra.append((kind, a, b))
     return base, in_order(base + extra)
 

@@ -266,6 +266,47 @@ def test_base_spans_follow_the_patterns():
     assert kinds == [("email", "a@b.co"), ("ip", "1.2.3.4"), ("card", "4111 1111-1111 1111"), ("phone", "+1 (988) 555-2485"), ("ip", "1.2.3.4")]
 
 
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+
+
+def plain_spans(text):
+    """Base spans by the patterns as they are stated, tested one by one."""
+    found = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    found += [("ip", *m.span()) for m in IP.finditer(text) if max(map(int, m[0].split("."))) <= 255]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m[0] if c.isdigit()][::-1]
+        doubled = [sum(divmod(2 * d, 10)) for d in digits[1::2]]
+        if 12 <= len(digits) <= 19 and (sum(digits[::2]) + sum(doubled)) % 10 == 0:
+            found.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= sum(c in "0123456789" for c in m[0]) <= 15:
+            found.append(("phone", *m.span()))
+    return sorted(found, key=lambda s: (s[1], ["email", "ip", "card", "phone"].index(s[0])))
+
+
+def test_base_spans_equal_the_plain_patterns(small):
+    rng = random.Random(2)
+    texts = [r.text or "" for r in small[0].select("text").collect()]
+    texts += ["".join(rng.choice("ab@.17 -+()é") for _ in range(rng.randrange(40))) for _ in range(20_000)]
+    texts += ["".join(rng.choice("0123456789 -.") for _ in range(rng.randrange(60))) for _ in range(20_000)]
+    for text in texts:
+        assert pii.base_spans(text) == plain_spans(text), text[:100]
+
+
+def test_long_runs_end():
+    from time import process_time
+
+    model = pii.fit([("x 1.2.3.4 y", [("ip", 2, 9)])] * 3)
+    for text in ("a" * 10**6 + " x@y.zz", "1" * 10**6, "a@" * 500_000, "1." * 500_000, "+1(" + "(" * 10**6, "1 " * 500_000, "x" * 10**6 + "@"):
+        start = process_time()
+        pii.base_spans(text)
+        assert process_time() - start < 10, text[:10]
+        # The model looks at each place's segments; its time grows with the text, not with its square.
+        pii.all_spans(text[:4_000], model)
+        assert process_time() - start < 20, text[:10]
+
+
 @pytest.fixture(scope="module")
 def small(spark):
     ready(spark)
@@ -448,6 +489,54 @@ def test_names_take_no_article_away(page, text):
     assert html_text.main_text(f"<html><body>{page}</body></html>") == text
 
 
+THREAD = f"<p>{LONG}</p><p>{LONG}</p>" * 20
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class=post><p>{LONG}</p><p>{LONG}</p></div><div class=comments>{THREAD}</div>",
+    f"<div class=post><p>{LONG}</p><p>{LONG}</p></div><div class=comments><div>{THREAD}</div></div>",
+    f"<div class=post><p>{LONG}</p><p>{LONG}</p></div><div id=user-comments>{THREAD}</div>",
+    f"<div class=post><p>{LONG}</p><p>{LONG}</p></div><ol class=commentlist-wrap><li class=comment>{THREAD}</ol>",
+    f"<article><p>{LONG}</p><p>{LONG}</p><div class=comments>{THREAD}</div></article>",
+    f"<article><p>{LONG}</p><p>{LONG}</p><section id=comments-list><div>{THREAD}</div></section></article>",
+    f"<article><p>{LONG}</p><div class=sidebar-box><p>Beside, it is.</p></div><p>{LONG}</p></article>",
+    f"<article><p>{LONG}</p><div class=ad-slot><p>Buy this, now.</p></div><p>{LONG}</p></article>",
+    f"<article><p>{LONG}</p><p>{LONG}</p></article><div class='sidebar left'>{THREAD}</div>",
+    f"<main><div class=cookie-bar><p>We use cookies, you know.</p></div><p>{LONG}</p><p>{LONG}</p><div class=post-comments>{THREAD}</div></main>",
+    f"<div class=page-wrapper><div class=layout-no-comments><p>{LONG}</p><p>{LONG}</p></div></div>",
+    f"<div class='search'><p>{LONG}</p><p>{LONG}</p></div><div class=newsletter-form><p>Sign up.</p></div>",
+])
+def test_parts_beside_the_text_go_whatever_their_size(page):
+    assert html_text.main_text(f"<html><body>{page}</body></html>") == f"{LONG} {LONG}"
+
+
+def test_hostile_pages_end():
+    from time import process_time
+
+    pages = ["<a " * 300_000, "<a<a" * 250_000 + ">", '<a ">" ' * 140_000 + "'", "<div>x" * 150_000, "<b>x" * 150_000, "<" * 10**6,
+             "<!" * 500_000, "<p class='" * 100_000, "<a '>" * 200_001, "x" * 10**6]
+    for page in pages:
+        start = process_time()
+        html_text.main_text(page)
+        assert process_time() - start < 20, page[:10]
+    assert html_text.main_text("<div>" * 2000 + f"<p>{LONG}</p>" + "</div>" * 2000 + f"<p>{LONG}</p>") == f"{LONG} {LONG}"
+
+
+TAG = re.compile(  # a plain statement of what a tag is
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>\"']*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<(/?)([a-zA-Z][^\s/>\"']*)([^>]*)>", re.S)
+
+
+def test_tags_are_those_of_the_pattern():
+    rng = random.Random(3)
+    for _ in range(20_000):
+        page = "".join(rng.choice(["<", ">", "a", " ", '"', "'", "/", "<!--", "-->", "<a ", "!", "=", "<b>", "x "]) for _ in range(rng.randrange(25)))
+        tags, at, got = html_text.Tags(page), 0, []
+        while found := tags.after(at):
+            got.append(found[:2])
+            at = found[1]
+        assert got == [m.span() for m in TAG.finditer(page)], page
+
+
 @pytest.mark.parametrize("page, text", [
     (f"<article><h1>Title</h1><p>Lead.</p><div class='body'><p>{LONG}</p><p>{LONG}</p></div></article>", f"Title Lead. {LONG} {LONG}"),
     (f"<article><p>Before it.</p><ul><li>{LONG}<li>{LONG}</ul><p>After it.</p></article>", f"Before it. {LONG} {LONG} After it."),
