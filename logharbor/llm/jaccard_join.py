@@ -83,13 +83,14 @@ def enough(n: str, place: str, other_n: str, other_place: str, percent: int) ->
     return after * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
 
 
-def shared_tokens(sets: DataFrame, row: str) -> DataFrame:
+def tokens_met(sets: DataFrame, row: str) -> tuple[DataFrame, DataFrame]:
     """``(id, token, texts)`` of the tokens that more than one text has; ``texts`` is the same for all of them.
 
     Tokens that a large share of rows have are found in a sample of the rows first, by column ``row``, and never
     shuffled: which tokens those are decides about the way and about ``texts``, where they count as the most
     frequent ones. One that only copies have may be among them, which costs work and changes no link. All other
-    tokens are shuffled once and counted where they meet.
+    tokens are shuffled once and counted where they meet. The first frame holds the former, the second the latter,
+    which lie by token.
     """
     listed = lambda part: part.select("id", F.explode("tokens").alias("token"))
     few = sets.where(F.pmod(F.xxhash64(row), F.lit(SAMPLE)) == 0)
@@ -100,17 +101,34 @@ def shared_tokens(sets: DataFrame, row: str) -> DataFrame:
     rest = marked.where("seen IS NULL").select("id", "token")
     met = Window.partitionBy("token")
     rest = rest.withColumns({"texts": F.count(F.lit(1)).over(met), "least": F.min("id").over(met), "most": F.max("id").over(met)})
-    rest = rest.where("least <> most")
-    return known.unionAll(rest.select("id", "token", "texts"))
+    return known, rest.where("least <> most").select("id", "token", "texts")
 
 
-def open_slots(sets: DataFrame, percent: int, row: str = "id") -> DataFrame:
+def open_texts(sets: DataFrame, percent: int, row: str) -> DataFrame:
+    """The ids of texts whose prefix has room for tokens of other texts; rows of one id hold the same set.
+
+    As ``open_slots``, but tokens are only counted: repeats of one by copies go where tokens lie together, those of
+    hot tokens by the number of copies, and what meets by id is a count for each task.
+    """
+    known, rest = tokens_met(sets, row)
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    met = known.select("id", one.alias("hot"), none.alias("met")).unionAll(
+        rest.dropDuplicates(["id", "token"]).select("id", none.alias("hot"), one.alias("met")))
+    met = met.groupBy("id").agg(F.sum("hot").alias("hot"), F.sum("met").alias("met"))
+    each = sets.groupBy("id").agg(
+        F.first("n").alias("n"), F.first(F.size("tokens")).alias("held"), F.count(F.lit(1)).alias("copies"))
+    own = F.col("held") - F.col("met") - F.expr("hot DIV copies")
+    return each.join(met, "id").where(prefix_length(F.col("n"), percent) > own).select("id")
+
+
+def open_slots(sets: DataFrame, percent: int) -> DataFrame:
     """Texts ``(id, n)`` whose prefix has room for tokens of other texts; rows that repeat an id are one text.
 
     Adds ``met`` (tokens that other texts have too, with the number of texts), ``own`` (how many no other
     has) and ``slots`` (how many of ``met`` belong to the prefix). Counts are of all texts given.
     """
-    met = shared_tokens(sets, row).groupBy("id").agg(F.collect_set(F.struct("texts", "token")).alias("met"))
+    known, rest = tokens_met(sets, "id")
+    met = known.unionAll(rest).groupBy("id").agg(F.collect_set(F.struct("texts", "token")).alias("met"))
     own = F.col("held") - F.size("met")
     return (
         sets.groupBy("id").agg(F.first("n").alias("n"), F.first(F.size("tokens")).alias("held"))
@@ -171,7 +189,7 @@ def similar_texts(
     # Copies go by one name and so meet nothing in each other.
     named = F.xxhash64("name").alias("id")
     filled = low.where("n > 0 AND id IS NOT NULL").select(F.col("id").alias("row"), named, "n", F.col("low").alias("tokens"))
-    sieved = open_slots(filled, percent, "row").select("id")
+    sieved = open_texts(filled, percent, "row")
     sieved = materialize(classes.select(named, "node").join(sieved, "id").select(F.col("node").alias("id")), "sieved")
     remove_scratch(spark, sketched)
     # Dealt by id once, sets lie where all later joins by id look for them.
