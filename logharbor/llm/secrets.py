@@ -7,6 +7,7 @@ log-likelihood ratios.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -31,31 +32,82 @@ PRIOR = 20.0
 LEAST_TOTAL, LEAST_EACH = 10.0, 0.35
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running_sums(amounts: Column) -> Column:
+    """Sums of a long array up to and with each place.
+
+    A fold that grows an array copies it at each step, so places are folded in blocks of about the square root of
+    their number, and blocks are then moved by the sums before them.
+    """
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr("CAST(array() AS array<bigint>)").alias("sums"))
+
+    def step(state: Column, amount: Column) -> Column:
+        at = state["at"] + amount
+        return F.struct(at.alias("at"), F.concat(state["sums"], F.array(at)).alias("sums"))
+
+    def moved(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: p["at"])
+        ends = F.aggregate(totals, start, step, lambda state: state["sums"])
+        return F.flatten(F.zip_with(F.zip_with(parts, totals, lambda p, own: F.struct(p["sums"].alias("sums"), own.alias("own"))), ends,
+                                    lambda p, end: F.transform(p["sums"], lambda s: s + end - p["own"])))
+
+    def summed(given: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(given))).cast("int")
+        parts = F.transform(F.sequence(F.lit(1), F.size(given), width), lambda i: F.aggregate(F.slice(given, i, width), start, step))
+        return F.when(F.size(given) > 0, bound(parts, moved)).otherwise(F.expr("CAST(array() AS array<bigint>)"))
+
+    return bound(amounts, summed)
+
+
 def spans(text: Column, pattern: str, kind: str, value_group: int = 0) -> Column:
     """Matches of the pattern, leftmost and without overlap: array of ``(kind, start, end, value)``.
 
     The pieces between matches give the positions, in code points.
     """
-    if value_group:
-        hits = F.arrays_zip(
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)).alias("value"),
-            F.split(text, pattern, -1).alias("piece"))
-    else:
-        matched = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        hits = F.arrays_zip(matched.alias("hit"), matched.alias("value"), F.split(text, pattern, -1).alias("piece"))
-    empty = "CAST(array() AS array<struct<kind:string,start:bigint,end:bigint,value:string>>)"
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr(empty).alias("found"))
-
-    def step(state: Column, hit: Column) -> Column:
-        low = state["at"] + F.length(hit["piece"])
-        high = low + F.length(hit["hit"])
-        one = F.struct(F.lit(kind).alias("kind"), low.alias("start"), high.alias("end"), hit["value"].alias("value"))
-        return F.struct(high.alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
+    hit = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)) if value_group else hit
+    hits = F.arrays_zip(hit.alias("hit"), value.alias("value"), F.split(text, pattern, -1).alias("piece"))
+
+    def placed(found: Column) -> Column:
+        ends = running_sums(F.transform(found, lambda h: (F.length(h["piece"]) + F.length(h["hit"])).cast("long")))
+        return F.zip_with(found, ends, lambda h, end: F.struct(
+            F.lit(kind).alias("kind"), (end - F.length(h["hit"])).alias("start"), end.alias("end"), h["value"].alias("value")))
 
     # The piece after the last match comes without a hit.
-    found = F.aggregate(F.filter(hits, lambda h: h["hit"].isNotNull()), start, step, lambda state: state["found"])
-    return F.when(text.rlike(pattern), found).otherwise(F.expr(empty))
+    found = bound(F.filter(hits, lambda h: h["hit"].isNotNull()), placed)
+    return F.when(text.rlike(pattern), found).otherwise(
+        F.expr("CAST(array() AS array<struct<kind:string,start:bigint,end:bigint,value:string>>)"))
+
+
+def apart(candidates: Column, base: Column) -> Column:
+    """The candidates, disjoint and in order, that overlap no base span.
+
+    Base spans that start before a candidate's end, less those that end by its start, are those it overlaps. Both
+    counts are read off one sorted list of all ends, which at equal places has ends, then candidates, then starts.
+    """
+    def marks(found: Column, place: str, turn: int) -> Column:
+        return F.transform(found, lambda s: F.struct(s[place].alias("at"), F.lit(turn).alias("turn")))
+
+    both = F.concat(marks(base, "end", 0), marks(candidates, "start", 1), marks(candidates, "end", 1), marks(base, "start", 2))
+
+    def counted(sorted_marks: Column) -> Column:
+        def before(turn: int) -> Column:
+            return running_sums(F.transform(sorted_marks, lambda m: (m["turn"] == turn).cast("long")))
+
+        known = F.arrays_zip(sorted_marks.alias("mark"), before(0).alias("ended"), before(2).alias("begun"))
+        return F.filter(known, lambda k: k["mark"]["turn"] == 1)
+
+    # Of a candidate's two marks the first comes at an even place.
+    starts = lambda found: F.filter(found, lambda k, i: i % 2 == 0)
+    ends = lambda found: F.filter(found, lambda k, i: i % 2 == 1)
+    overlaps = bound(bound(F.array_sort(both), counted), lambda found: F.zip_with(
+        starts(found), ends(found), lambda s, e: e["begun"] - s["ended"]))
+    paired = F.zip_with(candidates, overlaps, lambda c, n: F.struct(c.alias("c"), n.alias("n")))
+    return F.transform(F.filter(paired, lambda p: p["n"] == 0), lambda p: p["c"])
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -66,8 +118,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                        spans(text, CANDIDATE, RANDOM).alias("candidates"))
     rows = rows.withColumn("base", F.expr("array_sort(base, (a, b) -> CASE WHEN a.start <> b.start THEN CASE WHEN a.start < b.start THEN -1 ELSE 1 END "
                                           "WHEN a.kind = b.kind THEN 0 WHEN a.kind = 'assign' OR (a.kind = 'access' AND b.kind = 'hex') THEN -1 ELSE 1 END)"))
-    free = F.expr("filter(candidates, c -> NOT exists(base, b -> b.start < c.end AND c.start < b.end))")
-    return rows.withColumn("candidates", free)
+    return rows.withColumn("candidates", F.when(F.size("base") == 0, F.col("candidates")).otherwise(apart(F.col("candidates"), F.col("base"))))
 
 
 def symbol(c: Column) -> Column:

@@ -366,6 +366,26 @@ def test_best_segmentation_may_hold_a_low_score():
     assert found and low.entities("12") == [("email", 0, 2)]
 
 
+def test_secrets_of_many_matches_and_awkward_rows(spark, awkward, empty):
+    rng = random.Random(8)
+    parts = ["token=", "AKIA" + "A" * 14, "%016x" % rng.getrandbits(64), "abcdefghijklmnopqrst", 'password: "abc.def/ghi-jkl+mno"', ".",
+             "api_key=", "é😀", " ", "ABCDEFGHIJKLMNOPQRSTU"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    texts.append(" ".join("%016x theseareordinarywordsjoined" % rng.getrandbits(64) for _ in range(20_000)))
+    found = {r.id: r for r in secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    kinds = ((secrets.ASSIGN, 12), (secrets.ACCESS, 0), (secrets.HEX, 0))
+    for i, text in enumerate(texts):
+        base = sorted((m.start(), kind, m.end()) for kind, (pattern, least) in enumerate(kinds)
+                      for m in re.finditer(pattern, text) if len(m[m.lastindex or 0]) >= least)
+        assert [(s.start, s.end) for s in found[i].base] == [(start, end) for start, _, end in base]
+        covered = set(itertools.chain.from_iterable(range(start, end) for start, _, end in base))
+        free = [m.span() for m in re.finditer(secrets.CANDIDATE, text) if covered.isdisjoint(range(*m.span()))]
+        assert [(s.start, s.end) for s in found[i].candidates] == free
+    rows = secrets.find_secrets(awkward).collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(str(i) for i, _ in AWKWARD) and not any(r.base for r in rows)
+    assert secrets.find_secrets(empty).count() == 0
+
+
 def test_secrets_by_pattern_and_by_model(spark, small):
     def brute(t):
         found = [(m.start(), 0, "assign", m.end()) for m in re.finditer(secrets.ASSIGN, t) if len(m[2]) >= 12]
