@@ -10,6 +10,7 @@ from logharbor.functions import checks as fc
 from logharbor.functions.paths import archive_keys
 from logharbor.operators import integrity, sessions
 from logharbor.plans.line_round import line_round, round_requests
+from logharbor.plans.zone_settlement import settlement_poll
 from logharbor.schemas import SESSION, WINDOW
 from logharbor.session import materialize, scratch_path
 from logharbor.sources import files, landing
@@ -360,3 +361,36 @@ def line_path_rounds(spark, sf_dir):
         found = line_round(tree_windows(spark, sf_dir), cursors, answers(spark, sf_dir, number), URL, max_lines=ROUND_LINES)
         cursors = materialize(found["cursors"], "cursors")
     return relative(cursors, spark, sf_dir)
+
+
+# Long after the tree was written, so what is left of a working directory is stale.
+POLLED_MS = 1 << 45
+OWNED = """CASE WHEN owner_state = 'ACTIVE' AND CAST(substr(session_id, 2, 9) AS INT) % 2 = 0 THEN 'LEGACY_NO_LOCK' ELSE owner_state END"""
+POLLS = f"""polls AS (SELECT parent, session_id, channel, tmp_present, {OWNED} AS owner_state,
+    CASE WHEN channel = 'sass' OR last IS NULL THEN 1 ELSE last + 1 END AS window_sequence
+  FROM (SELECT DISTINCT parent, folder, session_id FROM tree) JOIN (SELECT session_id, tmp_present, owner_state FROM sessions) USING (session_id)
+  CROSS JOIN (SELECT unnest(['device', 'scope', 'system', 'sass']) AS channel)
+  LEFT JOIN (SELECT session_id, channel, MAX(window_sequence) AS last FROM tree GROUP BY ALL) USING (session_id, channel))"""
+AT = "(session_id, channel, window_sequence) IN (SELECT (session_id, channel, window_sequence) FROM"
+POLLED = f"""polled AS (SELECT parent AS folder, session_id, channel, CASE WHEN {AT} losses) THEN 'finished_orphaned'
+    WHEN {AT} tree) OR {AT} acks) THEN 'draining' WHEN owner_state IN ('ACTIVE', 'UNKNOWN') THEN 'waiting'
+    WHEN tmp_present THEN 'finished_orphaned' ELSE 'finished_clean' END AS state FROM polls)"""
+
+
+@query(oracle("""SELECT folder, session_id, channel, CASE state WHEN 'finished_clean' THEN 'waiting' ELSE state END AS first_state, state,
+  CASE WHEN bool_and(starts_with(state, 'finished')) OVER s THEN CASE WHEN session_id IN (SELECT session_id FROM losses)
+    OR bool_or(state = 'finished_orphaned') OVER s THEN 'failed' ELSE 'uploaded' END END AS outcome
+  FROM polled WINDOW s AS (PARTITION BY folder, session_id)""", TREE, POLLS, POLLED))
+def settlement_files(spark, sf_dir):
+    root, listed = landing_tree(spark, sf_dir), materialize(entries(spark, sf_dir), "entries")
+    catalog = sessions.session_catalog(listed)
+    sent = landing.list_windows(listed).where("channel <> 'sass'").groupBy("folder", "session_id", "channel").agg(
+        (F.max("window_sequence") + 1).alias("file_index"))
+    parent = F.concat_ws("/", F.lit(root), F.nullif(F.expr(PARENT), F.lit("")))
+    owners = fixture(spark, sf_dir, "sessions").select(parent.alias("folder"), "session_id", F.expr(OWNED).alias("owner_state"))
+    first = materialize(settlement_poll(listed, catalog, sent, owners, PRODUCER, F.lit(POLLED_MS)), "states")
+    second = materialize(settlement_poll(listed, catalog, sent, owners, PRODUCER, F.lit(POLLED_MS + 5_000), first), "states")
+    outcomes = sessions.settle_sessions(sessions.session_completion(second, catalog), landing.scan_losses(listed, PRODUCER))
+    both = second.join(first.select("folder", "session_id", "channel", F.col("state").alias("first_state")), ["folder", "session_id", "channel"])
+    rows = both.join(outcomes.select(*SESSION, "outcome"), SESSION, "left")
+    return relative(rows.select(*SESSION, "channel", "first_state", "state", "outcome"), spark, sf_dir)
