@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from logharbor.session import listing_tasks
 from logharbor.sources import files, landing
 from logharbor.streaming.rounds import RoundTables, dedup_rounds, retry_round, window_rounds
 from logharbor.streaming.stateful import dedup_with_state
@@ -138,3 +139,18 @@ def test_delivery_rounds_hold_back_refused_and_later_windows(spark, tmp_path):
     assert deliver()[0] == [6]
     assert RoundTables(spark, str(base)).all("losses").count() == 1
     assert 7 not in sent
+
+
+def test_a_trigger_of_many_files_takes_few_tasks(spark, tmp_path):
+    root, tasks = tmp_path / "zone", []
+    for n in range(1, 81):
+        put_window(root, n, "a\n", sidecar=False)
+    lines = stream_lines(stream_windows(spark, str(root)).select("channel", "window_sequence", "path", "is_gz"))
+    query = lines.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    status = spark.sparkContext.statusTracker()
+    for job in status.getJobIdsForGroup(str(query.runId)):
+        tasks += [status.getStageInfo(stage).numTasks for stage in status.getJobInfo(job).stageIds if status.getStageInfo(stage)]
+    assert tasks and max(tasks) <= listing_tasks(spark) < 80
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 80
