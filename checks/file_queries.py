@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from checks.fixtures import PRODUCER, REL_DIR, URL, fixture, landing_tree, oracle, window_texts
@@ -259,18 +261,17 @@ TREE_DECIDED = f"""judged AS (SELECT t.*, CASE WHEN NOT is_gz THEN 'line_path' W
   FROM tree t LEFT JOIN sidecars s USING ({W}) LEFT JOIN (SELECT session_id, owner_state FROM sessions) USING (session_id))"""
 
 
-def control_tables(spark, sf_dir):
-    """Sidecars as they lie in the tree, and the owner states that a probe would give."""
+def placed_owners(spark, sf_dir):
+    """The owner states that a probe would give."""
     owners = fixture(spark, sf_dir, "sessions").select(F.expr(PARENT).alias("folder"), "session_id", "owner_state")
     root = landing_tree(spark, sf_dir)
-    placed = owners.withColumn("folder", F.regexp_replace(F.concat_ws("/", F.lit(root), "folder"), "/$", ""))
-    return landing.scan_sidecars(entries(spark, sf_dir), PRODUCER), placed
+    return owners.withColumn("folder", F.regexp_replace(F.concat_ws("/", F.lit(root), "folder"), "/$", ""))
 
 
 @query(oracle(f"SELECT {TREE_W}, decision FROM judged", TREE, TREE_DECIDED))
 def window_decision_files(spark, sf_dir):
-    sidecars, owners = control_tables(spark, sf_dir)
-    decided = integrity.window_decision(files.hash_payloads(tree_windows(spark, sf_dir)), sidecars, owners)
+    sidecars = landing.scan_sidecars(entries(spark, sf_dir), PRODUCER)
+    decided = integrity.window_decision(files.hash_payloads(tree_windows(spark, sf_dir)), sidecars, placed_owners(spark, sf_dir))
     return relative(decided, spark, sf_dir).select(*WINDOW, "decision")
 
 
@@ -286,7 +287,7 @@ def window_delivery_rounds(spark, sf_dir):
     answer = {"status": F.when(F.col("window_sequence") == 7, 503).otherwise(200),
               "body": F.lit('{"window_acknowledged":true}')}
     writer = window_rounds(
-        files.hash_payloads(found), base, lambda s: control_tables(s, sf_dir),
+        files.hash_payloads(found), base, lambda s: (partial(landing.sidecars_of, producer=PRODUCER), placed_owners(s, sf_dir)),
         lambda requests: requests.withColumns(answer), PRODUCER)
     finish(writer, spark)
     last = spark.read.parquet(f"{base}/cursors").where(F.col("epoch") == spark.read.parquet(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from logharbor.operators.dedup import metric_dedup_from
+from logharbor.operators.sequence import ready_prefix, resume_windows
 from logharbor.plans.window_path import decide_round, record_round, sendable
 from logharbor.schemas import STREAM, WINDOW
 from logharbor.sources.files import hash_payloads
@@ -78,6 +79,11 @@ class RoundTables:
         return self.spark.read.parquet(f"{self.base}/{table}").drop("epoch")
 
 
+#: Gives the current sidecars and sessions of a round. Instead of all sidecars it may give a function that
+#: looks up those of the windows it is handed, so that a round doesn't open every control file there is.
+Control = Callable[[SparkSession], tuple[DataFrame | Callable[[DataFrame], DataFrame], DataFrame]]
+
+
 def dedup_rounds(samples: DataFrame, base: str, key_cols, order_cols) -> DataStreamWriter:
     """Keep changed samples of a stream in table ``kept``.
 
@@ -98,13 +104,13 @@ def dedup_rounds(samples: DataFrame, base: str, key_cols, order_cols) -> DataStr
 def window_rounds(
     windows: DataFrame,
     base: str,
-    control: Callable[[SparkSession], tuple[DataFrame, DataFrame]],
+    control: Control,
     send: Callable[[DataFrame], DataFrame],
     producer: str,
 ) -> DataStreamWriter:
     """Deliver the windows of a stream round by round.
 
-    ``control`` gives the current sidecars and sessions. Windows that cannot go yet (a gap
+    ``control`` gives the current sidecars, or how to look them up, and the sessions. Windows that cannot go yet (a gap
     before them, no sidecar, a refused request) wait in table ``windows``; ``retry_round``
     tries them again when no new file comes.
     """
@@ -122,7 +128,7 @@ def window_rounds(
 def retry_round(
     spark: SparkSession,
     base: str,
-    control: Callable[[SparkSession], tuple[DataFrame, DataFrame]],
+    control: Control,
     send: Callable[[DataFrame], DataFrame],
     producer: str,
 ) -> bool:
@@ -140,6 +146,13 @@ def retry_round(
     return True
 
 
+def in_question(windows: DataFrame, acks: DataFrame, cursors: DataFrame) -> DataFrame:
+    """The windows whose sidecars a round may need: those acknowledged from the resume position on, and those
+    that would be ready if every acknowledgement counted."""
+    acked = resume_windows(acks.select(*WINDOW).distinct(), cursors).select(*WINDOW)
+    return ready_prefix(windows.select(*WINDOW).distinct(), cursors, acked).select(*WINDOW).unionByName(acked)
+
+
 def _deliver(
     tables: RoundTables, batch: DataFrame, number: int, before: int | None, control, send, producer: str
 ) -> None:
@@ -160,10 +173,12 @@ def _deliver(
     seen = tables.write(known.select(WINDOWS.names).unionByName(new), "seen", number)
     # The round reads these several times; listing and hashing must happen once.
     sidecars, sessions = control(spark)
-    sidecars = tables.write(sidecars, "sidecars", number)
     cursors = left("cursors", CURSORS)
     acks = ledger("acks", ACKS)
     losses = ledger("losses", LOSSES)
+    if callable(sidecars):
+        sidecars = sidecars(in_question(seen, acks, cursors))
+    sidecars = tables.write(sidecars, "sidecars", number)
     decisions = tables.write(
         decide_round(seen, sidecars, acks, losses, cursors, sessions), "decisions", number
     )

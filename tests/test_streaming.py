@@ -154,3 +154,29 @@ def test_a_trigger_of_many_files_takes_few_tasks(spark, tmp_path):
         tasks += [status.getStageInfo(stage).numTasks for stage in status.getJobInfo(job).stageIds if status.getStageInfo(stage)]
     assert tasks and max(tasks) <= listing_tasks(spark) < 80
     assert spark.read.parquet(str(tmp_path / "out")).count() == 80
+
+
+def test_delivery_rounds_open_only_the_sidecars_in_question(spark, tmp_path):
+    root, base, asked = tmp_path / "zone", tmp_path / "tables", []
+    for n in (1, 2, 3, 5, 6):
+        put_window(root, n, f"{n}\n", sidecar=n != 3)
+
+    def lookup_sidecars(windows):
+        asked.append(sorted(r.window_sequence for r in windows.collect()))
+        return landing.sidecars_of(windows, "acme")
+
+    def control(session):
+        return lookup_sidecars, session.createDataFrame([(str(root), "s", "UNOWNED")], "folder string, session_id string, owner_state string")
+
+    answer = {"status": F.lit(200), "body": F.lit('{"window_acknowledged":true}')}
+    found = files.hash_payloads(stream_windows(spark, str(root)))
+    run(window_rounds(found, str(base), control, lambda r: r.withColumns(answer), "acme"), tmp_path / "checkpoint")
+    assert asked == [[1, 2, 3]]
+    cursor = RoundTables(spark, str(base)).all("cursors").first()
+    assert cursor.file_index == 3
+
+    listed = landing.scan_landing_zone(spark, [str(root)], landing.CONTROL_FILES)
+    every = landing.list_windows(listed)
+    by_listing, by_name = landing.scan_sidecars(listed, "acme"), landing.sidecars_of(every, "acme")
+    assert by_name.schema.names == by_listing.schema.names
+    assert sorted(map(tuple, by_name.collect())) == sorted(map(tuple, by_listing.collect()))
