@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+import stat
 from collections.abc import Iterator
 from itertools import islice
 
@@ -46,19 +48,41 @@ ROWS_PER_BATCH = 4096
 GROUPS, SESSIONS = 1, 2
 
 
-def listing(path: str) -> list[fs.FileInfo]:
+def listing(path: str) -> Iterator[tuple[str, bool, int | None, int | None]]:
+    """Name, whether a directory, size and time in ns of what lies in a directory.
+
+    A local directory is walked entry by entry, so a session of many windows costs no memory.
+    """
     system, inner = locate(path)
-    return system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+    if isinstance(system, fs.LocalFileSystem):
+        yield from local_listing(inner)
+        return
+    for entry in system.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
+        yield entry.base_name, entry.type == fs.FileType.Directory, entry.size, entry.mtime_ns
+
+
+def local_listing(path: str) -> Iterator[tuple[str, bool, int | None, int | None]]:
+    try:
+        entries = os.scandir(path)
+    except FileNotFoundError:
+        return
+    with entries:
+        for entry in entries:
+            try:
+                found = entry.stat()
+            except FileNotFoundError:  # gone since, or a link to nothing
+                yield entry.name, False, None, None
+                continue
+            yield entry.name, stat.S_ISDIR(found.st_mode), found.st_size if stat.S_ISREG(found.st_mode) else None, found.st_mtime_ns
 
 
 def children(folder: str, rel_dir: str, depth: int) -> Iterator[tuple]:
     """Entries of a directory, and below a session those of its working directory."""
-    for entry in listing(f"{folder}/{rel_dir}" if rel_dir else folder):
-        is_dir = entry.type == fs.FileType.Directory
-        mtime = entry.mtime_ns // 1_000_000 if entry.mtime_ns else None
-        yield folder, rel_dir, entry.base_name, is_dir, None if is_dir else entry.size, mtime, None
-        if is_dir and depth == SESSIONS and entry.base_name == TMP_DIR and "/" in rel_dir:
-            yield from children(folder, f"{rel_dir}/{entry.base_name}", depth + 1)
+    for name, is_dir, size, mtime_ns in listing(f"{folder}/{rel_dir}" if rel_dir else folder):
+        mtime = mtime_ns // 1_000_000 if mtime_ns else None
+        yield folder, rel_dir, name, is_dir, None if is_dir else size, mtime, None
+        if is_dir and depth == SESSIONS and name == TMP_DIR and "/" in rel_dir:
+            yield from children(folder, f"{rel_dir}/{name}", depth + 1)
 
 
 def entry_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -104,17 +128,19 @@ def open_folders(folders: DataFrame) -> DataFrame:
 
 
 def with_content(entries: DataFrame, wanted: str) -> DataFrame:
-    """The (small) texts of the files whose names match the pattern ``wanted``."""
+    """The (small) texts of the files whose names match the pattern ``wanted``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        named, place = re.compile(wanted), ENTRY.names.index("content")
-        for batch in batches:
-            keys = zip(*(batch.column(c).to_pylist() for c in ("folder", "rel_dir", "name", "is_dir")))
-            texts = [None if is_dir or not named.match(name) else read_text("/".join(p for p in (folder, rel_dir, name) if p))
-                     for folder, rel_dir, name, is_dir in keys]
-            yield batch.set_column(place, "content", pa.array(texts, pa.string())).cast(to_arrow_schema(ENTRY))
+    A column of its own, so that no file is opened where nobody asks for the texts.
+    """
+
+    @F.arrow_udf(T.StringType())
+    def texts(paths: pa.Array, names: pa.Array, dirs: pa.Array) -> pa.Array:
+        named = re.compile(wanted)
+        rows = zip(paths.to_pylist(), names.to_pylist(), dirs.to_pylist())
+        return pa.array([None if is_dir or not named.match(name) else read_text(path) for path, name, is_dir in rows], pa.string())
 
-    return entries.mapInArrow(run, ENTRY)
+    parts = [F.nullif(F.col(c), F.lit("")) for c in ("folder", "rel_dir", "name")]
+    return entries.withColumn("content", texts(F.concat_ws("/", *parts), "name", "is_dir")).select(*ENTRY.names)
 
 
 def read_text(path: str) -> str | None:

@@ -180,3 +180,12 @@ def test_delivery_rounds_open_only_the_sidecars_in_question(spark, tmp_path):
     by_listing, by_name = landing.scan_sidecars(listed, "acme"), landing.sidecars_of(every, "acme")
     assert by_name.schema.names == by_listing.schema.names
     assert sorted(map(tuple, by_name.collect())) == sorted(map(tuple, by_listing.collect()))
+
+
+def test_a_listing_opens_no_file_whose_text_nobody_asks_for(spark, tmp_path):
+    root = tmp_path / "zone"
+    put_window(root, 1, "a\n")
+    marker = root / "s" / ".acme-window-ack.device.1"
+    marker.symlink_to("/proc/self/mem")  # can be looked at, but not read from its start
+    listed = landing.scan_landing_zone(spark, [str(root)], landing.CONTROL_FILES)
+    assert {r.name for r in listed.select("name").collect()} >= {marker.name, "device.1.log.gz"}
