@@ -93,10 +93,16 @@ def ready_prefix(
     missing number are held back.
     """
     pending = resume_windows(windows, cursors)
-    gaps = sequence_gaps(windows, cursors, done)
-    first = gaps.groupBy(*STREAM).agg(F.min("gap_from").alias("first_missing"))
+    found = pending if done is None else pending.select(*WINDOW, "start_index").unionByName(
+        resume_windows(done.select(*WINDOW), cursors).select(*WINDOW, "start_index"))
+    # The first number missing is the start or follows one that is there.
+    here, number = F.struct(F.col("window_sequence").alias("at"), F.lit(True).alias("here")), F.lit(False).alias("here")
+    after = [F.struct(c.alias("at"), number) for c in (F.col("window_sequence") + 1, F.col("start_index"))]
+    numbers = found.select(*STREAM, F.explode(F.array(here, *after)).alias("_n")).select(*STREAM, "_n.*")
+    missing = numbers.groupBy(*STREAM, "at").agg(F.max("here").alias("here")).where(~F.col("here"))
+    first = missing.groupBy(*STREAM).agg(F.min("at").alias("first_missing"))
     held = lookup(pending, first, STREAM, ["window_sequence"])
-    return held.where("first_missing is null or window_sequence < first_missing").drop("first_missing")
+    return held.where("window_sequence < first_missing").drop("first_missing")
 
 
 def tombstone_skip(windows: DataFrame, acked: DataFrame) -> DataFrame:

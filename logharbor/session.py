@@ -6,6 +6,8 @@ import re
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,22 @@ def listing_tasks(spark: SparkSession) -> int:
     return max(LISTING_TASKS, 2 * spark.sparkContext.defaultParallelism)
 
 
+@contextmanager
+def planned_ahead(spark: SparkSession) -> Iterator[None]:
+    """For many jobs over few rows: planning each stage anew takes longer than the stage, so its plan is kept, in
+    no more tasks than cores."""
+    tasks = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    wanted = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(tasks)}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 
@@ -79,6 +97,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     For rows that several later passes read: unlike a checkpoint the table is columnar, so
     each pass reads only the columns that it needs.
     """
-    path = scratch_path(df.sparkSession, label)
+    return materialize_as(df, scratch_path(df.sparkSession, label))
+
+
+def materialize_as(df: DataFrame, path: str) -> DataFrame:
+    """As ``materialize``, at a path that the caller may remove."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,14 +7,18 @@ in the same tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from logharbor.operators.dedup import metric_dedup_from
 from logharbor.operators.sequence import ready_prefix, resume_windows
+from logharbor.operators.skew import join_keys, lookup
 from logharbor.plans.window_path import decide_round, record_round, sendable
 from logharbor.schemas import STREAM, WINDOW
+from logharbor.session import planned_ahead
 from logharbor.sources.files import hash_payloads
 
 
@@ -69,11 +73,14 @@ class RoundTables:
 
     def history(self, table: str, epoch: int, schema: T.StructType) -> DataFrame:
         """All rows that earlier micro-batches added; a missing table after the first is an error."""
-        path = f"{self.base}/{table}"
-        if epoch == 0:
-            return self.spark.createDataFrame([], schema)
+        return self.dated(table, epoch, schema).drop("epoch")
+
+    def dated(self, table: str, epoch: int, schema: T.StructType) -> DataFrame:
+        """As ``history``, with the micro-batch that added each row as ``epoch``."""
         dated = T.StructType([*schema.fields, T.StructField("epoch", LONG)])
-        return self.spark.read.schema(dated).parquet(path).where(f"epoch < {epoch}").drop("epoch")
+        if epoch == 0:
+            return self.spark.createDataFrame([], dated)
+        return self.spark.read.schema(dated).parquet(f"{self.base}/{table}").where(f"epoch < {epoch}")
 
     def all(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.base}/{table}").drop("epoch")
@@ -111,8 +118,8 @@ def window_rounds(
     """Deliver the windows of a stream round by round.
 
     ``control`` gives the current sidecars, or how to look them up, and the sessions. Windows that cannot go yet (a gap
-    before them, no sidecar, a refused request) wait in table ``windows``; ``retry_round``
-    tries them again when no new file comes.
+    before them, no sidecar, a refused request) wait: those that a round would try in table ``windows``, those behind
+    a missing number in ``held``, to which a round only adds. ``retry_round`` tries them again when no new file comes.
     """
 
     def each(batch: DataFrame, epoch: int) -> None:
@@ -120,7 +127,8 @@ def window_rounds(
         before = [e for e in tables.epochs("windows") if e < epoch * SPAN]
         if epoch and (not before or before[-1] // SPAN != epoch - 1):
             raise FileNotFoundError(f"the tables of micro-batch {epoch - 1} are missing below {base}")
-        _deliver(tables, batch, epoch * SPAN, before[-1] if before else None, control, send, producer)
+        with planned_ahead(tables.spark):
+            _deliver(tables, batch, epoch * SPAN, before[-1] if before else None, control, send, producer)
 
     return windows.writeStream.foreachBatch(each)
 
@@ -139,56 +147,97 @@ def retry_round(
     """
     tables = RoundTables(spark, base)
     rounds = tables.epochs("windows")
-    if not rounds or tables.stored("windows", rounds[-1], WINDOWS).isEmpty():
+    if not rounds:
+        return False
+    windows, cursors = tables.stored("windows", rounds[-1], WINDOWS), tables.stored("cursors", rounds[-1], CURSORS)
+    known = windows.unionByName(still_held(tables.dated("held", rounds[-1] + 1, WINDOWS), edges(windows, cursors)))
+    if known.isEmpty():
         return False
-    known = tables.stored("windows", rounds[-1], WINDOWS)
-    _deliver(tables, hash_payloads(known), rounds[-1] + 1, rounds[-1], control, send, producer)
+    with planned_ahead(spark):
+        _deliver(tables, hash_payloads(known), rounds[-1] + 1, rounds[-1], control, send, producer)
     return True
 
 
-def in_question(windows: DataFrame, acks: DataFrame, cursors: DataFrame) -> DataFrame:
-    """The windows whose sidecars a round may need: those acknowledged from the resume position on, and those
-    that would be ready if every acknowledgement counted."""
-    acked = resume_windows(acks.select(*WINDOW).distinct(), cursors).select(*WINDOW)
-    return ready_prefix(windows.select(*WINDOW).distinct(), cursors, acked).select(*WINDOW).unionByName(acked)
+def edges(windows: DataFrame, cursors: DataFrame) -> DataFrame:
+    """The first missing number (``edge``) of the streams that have a cursor or waiting windows in reach. The latter
+    are a gap-free run from the cursor on, so what is held of a stream lies behind its edge."""
+    at = windows.select(*STREAM, (F.col("window_sequence") + 1).alias("edge")).unionByName(
+        cursors.select(*STREAM, F.greatest(F.lit(1).cast("bigint"), "file_index").alias("edge")))
+    return at.groupBy(*STREAM).agg(F.max("edge").alias("edge"))
+
+
+def still_held(held: DataFrame, edges: DataFrame, how: str = "left") -> DataFrame:
+    """Held windows behind the edge of their stream, as they were hashed last; a stream without one begins at 1.
+
+    ``how`` "inner" gives only those of the streams in ``edges``.
+    """
+    behind = lookup(held, edges, STREAM, ["window_sequence"], how).where(F.col("window_sequence") >= F.coalesce("edge", F.lit(1)))
+    others = [c for c in WINDOWS.names if c not in (*WINDOW, "is_gz")]
+    last = behind.groupBy(*WINDOW, "is_gz").agg(F.max_by(F.struct(*others), "epoch").alias("_file"))
+    return last.select(*WINDOW, "is_gz", "_file.*").select(WINDOWS.names)
+
+
+def in_reach(new: DataFrame, windows: DataFrame, held: DataFrame, cursors: DataFrame, acked: DataFrame) -> DataFrame:
+    """The windows that would be ready if every acknowledgement counted: those ``in reach`` before, the new ones, and
+    what was held behind a number that came."""
+    begin = lookup(new, edges(windows, cursors), STREAM, ["window_sequence"])
+    edge = F.coalesce("edge", F.lit(1).cast("bigint"))
+    filled = begin.where(F.col("window_sequence") == edge).select(*STREAM, edge.alias("edge")).distinct()
+    known = windows.unionByName(still_held(held, filled, "inner"))
+    known = join_keys(known, new.select(*WINDOW, "is_gz"), [*WINDOW, "is_gz"], "left_anti")
+    pool = known.select(WINDOWS.names).unionByName(new.select(WINDOWS.names))
+    return ready_prefix(pool, cursors, acked).select(WINDOWS.names)
+
+
+def _together(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """The results of steps that run side by side: their jobs are small, most of the time goes into starting them."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [step.result() for step in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]
 
 
 def _deliver(
     tables: RoundTables, batch: DataFrame, number: int, before: int | None, control, send, producer: str
 ) -> None:
     """Round ``number`` over new windows and those left by round ``before``. ``windows`` is
-    written last, so a round that broke off doesn't count and is done again."""
+    written last, so a round that broke off doesn't count and is done again.
+
+    Windows behind a missing number are read again only once that number comes, and never rewritten."""
     spark = tables.spark
 
     def left(table: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema) if before is None else tables.stored(table, before, schema)
 
     def ledger(table: str, schema: T.StructType) -> DataFrame:
-        return spark.createDataFrame([], schema) if before is None else tables.history(table, number, schema)
+        return tables.dated(table, 0 if before is None else number, schema)
 
     # One row per file: a repeated listing must not double a window. What was hashed last counts.
     new = batch.select(WINDOWS.names)
     new = tables.write(new.dropDuplicates([*WINDOW, "is_gz"]), "new", number)
-    known = left("windows", WINDOWS).join(new.select(*WINDOW, "is_gz"), [*WINDOW, "is_gz"], "left_anti")
-    seen = tables.write(known.select(WINDOWS.names).unionByName(new), "seen", number)
     # The round reads these several times; listing and hashing must happen once.
     sidecars, sessions = control(spark)
     cursors = left("cursors", CURSORS)
-    acks = ledger("acks", ACKS)
-    losses = ledger("losses", LOSSES)
-    if callable(sidecars):
-        sidecars = sidecars(in_question(seen, acks, cursors))
-    sidecars = tables.write(sidecars, "sidecars", number)
-    decisions = tables.write(
-        decide_round(seen, sidecars, acks, losses, cursors, sessions), "decisions", number
-    )
+    acks = ledger("acks", ACKS).drop("epoch")
+    losses = ledger("losses", LOSSES).drop("epoch")
+    acked = resume_windows(acks.select(*WINDOW).distinct(), cursors).select(*WINDOW)
+    near = tables.write(in_reach(new, left("windows", WINDOWS), ledger("held", WINDOWS), cursors, acked), "near", number)
+    held = join_keys(resume_windows(new, cursors), near.select(*WINDOW), WINDOW, "left_anti")
+
+    def decide() -> DataFrame:
+        asked = near.select(*WINDOW).distinct().unionByName(acked)
+        known = tables.write(sidecars(asked) if callable(sidecars) else sidecars, "sidecars", number)
+        return tables.write(decide_round(near, known, acks, losses, cursors, sessions), "decisions", number)
+
+    decisions, _ = _together(spark, decide, lambda: tables.write(held.select(WINDOWS.names), "held", number))
     # Requests go out once: everything after reads the stored responses.
     responses = tables.write(send(sendable(decisions)), "responses", number)
     recorded = record_round(decisions, responses, acks, losses, cursors, producer)
-    tables.write(recorded["acks"].select(ACKS.names), "acks", number)
-    tables.write(recorded["losses"].select(LOSSES.names), "losses", number)
-    moved = tables.write(recorded["cursors"].select(CURSORS.names), "cursors", number)
-    waiting = seen.join(moved.select(*STREAM, "file_index"), STREAM, "left").where(
+    moved, _, _ = _together(
+        spark,
+        lambda: tables.write(recorded["cursors"].select(CURSORS.names), "cursors", number),
+        lambda: tables.write(recorded["acks"].select(ACKS.names), "acks", number),
+        lambda: tables.write(recorded["losses"].select(LOSSES.names), "losses", number),
+    )
+    waiting = join_keys(near, moved.select(*STREAM, "file_index"), STREAM, "left").where(
         "file_index is null or window_sequence >= file_index"
     )
     tables.write(waiting.select(WINDOWS.names), "windows", number)

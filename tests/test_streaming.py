@@ -189,3 +189,28 @@ def test_a_listing_opens_no_file_whose_text_nobody_asks_for(spark, tmp_path):
     marker.symlink_to("/proc/self/mem")  # can be looked at, but not read from its start
     listed = landing.scan_landing_zone(spark, [str(root)], landing.CONTROL_FILES)
     assert {r.name for r in listed.select("name").collect()} >= {marker.name, "device.1.log.gz"}
+
+
+def test_a_round_leaves_alone_what_waits_behind_a_gap(spark, tmp_path):
+    root, base = tmp_path / "zone", tmp_path / "tables"
+    owners = [(str(root), "s", "UNOWNED")]
+    control = lambda s: (lambda w: landing.sidecars_of(w, "acme"), s.createDataFrame(owners, "folder string, session_id string, owner_state string"))
+    send = lambda r: r.withColumns({"status": F.lit(200), "body": F.lit("")})
+    tables = RoundTables(spark, str(base))
+
+    def written(table):
+        numbers = tables.epochs("windows")[-1:]
+        return sorted(r.window_sequence for n in numbers for r in spark.read.parquet(f"{base}/{table}/epoch={n}").collect())
+
+    def deliver(*new):
+        for n in new:
+            put_window(root, n, f"{n}\n")
+        run(window_rounds(files.hash_payloads(stream_windows(spark, str(root))), str(base), control, send, "acme"), tmp_path / "checkpoint")
+        last = tables.epochs("windows")[-1]
+        return spark.read.parquet(f"{base}/cursors/epoch={last}").collect()
+
+    assert deliver(3, 4, 6) == [] and (written("held"), written("windows"), written("near")) == ([3, 4, 6], [], [])
+    # The round reads, and writes, only what its own windows bring into reach.
+    assert [r.file_index for r in deliver(1)] == [2] and (written("held"), written("near")) == ([], [1])
+    assert [r.file_index for r in deliver(2, 8)] == [5] and (written("held"), written("near")) == ([8], [2, 3, 4])
+    assert retry_round(spark, str(base), control, send, "acme") and (written("held"), written("near")) == ([6, 8], [])
