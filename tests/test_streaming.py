@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 import random
 import time
 import zlib
@@ -12,7 +13,7 @@ from logharbor.session import listing_tasks
 from logharbor.sources import files, landing
 from logharbor.streaming.rounds import RoundTables, dedup_rounds, retry_round, window_rounds
 from logharbor.streaming.stateful import dedup_with_state
-from logharbor.streaming.windows import stream_lines, stream_windows
+from logharbor.streaming.windows import poll_windows, stream_lines, stream_windows
 from tests.models import keep_changed
 from tests.test_ordered import SAMPLE, sample_rows
 
@@ -214,3 +215,40 @@ def test_a_round_leaves_alone_what_waits_behind_a_gap(spark, tmp_path):
     assert [r.file_index for r in deliver(1)] == [2] and (written("held"), written("near")) == ([], [1])
     assert [r.file_index for r in deliver(2, 8)] == [5] and (written("held"), written("near")) == ([8], [2, 3, 4])
     assert retry_round(spark, str(base), control, send, "acme") and (written("held"), written("near")) == ([6, 8], [])
+
+
+def test_a_listing_spares_the_driver_the_names_of_windows(spark, tmp_path):
+    root, listing, out = tmp_path / "zone", str(tmp_path / "listing"), str(tmp_path / "out")
+    for n in range(1, 6):
+        put_window(root, n, f"{n}\n", sidecar=False)
+    (root / "s" / "device.6.log.gz").write_bytes(b"")
+    for name in ("_hidden.1.log", ".dot.1.log", "device.x.log"):
+        (root / "s" / name).write_text("no window")
+    (root / "device.1.log").write_text("beside the sessions")
+    (root / "_g" / "s").mkdir(parents=True)
+    (root / "_g" / "s" / "device.1.log").write_text("hidden")
+    sizes = []
+
+    def deliver(make, checkpoint, out):
+        query = make.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(checkpoint)).trigger(availableNow=True).start()
+        query.awaitTermination()
+        sizes.append([p.numInputRows for p in query.recentProgress if p.numInputRows])
+        return sorted(map(tuple, spark.read.parquet(out).collect()))
+
+    def listed():
+        return deliver(stream_windows(spark, str(root), 2, listing=listing), tmp_path / "checkpoint", out)
+
+    by_listing = listed()
+    assert by_listing == deliver(stream_windows(spark, str(root)), tmp_path / "other", str(tmp_path / "by_source"))
+    assert sorted(sizes[0]) == [1, 2, 2]
+    log = "".join(p.read_text() for p in (tmp_path / "checkpoint" / "sources" / "0").iterdir() if not p.name.startswith("."))
+    assert "part-" in log and ".log.gz" not in log
+    # What was published is known to the next poll, and what comes later is delivered once.
+    assert poll_windows(spark, str(root), listing, 2) == 0
+    put_window(root, 7, "7\n", sidecar=False)
+    assert len(listed()) == 6 and sizes[-1] == [1]
+    put_window(root, 8, "8\n", sidecar=False)
+    os.utime(root / "s" / "device.8.log.gz", (1_000_000_000, 1_000_000_000))
+    assert poll_windows(spark, str(root), listing, 2, max_file_age="1h") == 0 and poll_windows(spark, str(root), listing, 2) == 1
+    lines = stream_lines(stream_windows(spark, str(root), 2, listing=listing).select("window_sequence", "path", "is_gz"))
+    assert [r[:1] + r[-1:] for r in deliver(lines, tmp_path / "lines", str(tmp_path / "texts"))] == [(n, str(n)) for n in (1, 2, 3, 4, 5, 7, 8)]
